@@ -72,11 +72,10 @@ def chunk_regex(open_: str, close: str) -> str:
 
 def chunk_strings(c: Column, pairs=C.CHUNK_PAIRS) -> Column:
     """array<struct<type, chunk>>: every special chunk, grouped by pair in list order."""
-    parts = [
-        F.transform(F.regexp_extract_all(c, F.lit(chunk_regex(o, e)), 0),
-                    lambda x, o=o: F.struct(F.lit(o).alias("type"), x.alias("chunk")))
-        for o, e in pairs
-    ]
+    def tag(o):
+        return lambda x: F.struct(F.lit(o).alias("type"), x.alias("chunk"))
+
+    parts = [F.transform(F.regexp_extract_all(c, F.lit(chunk_regex(o, e)), 0), tag(o)) for o, e in pairs]
     return F.concat(*parts)
 
 
@@ -93,16 +92,22 @@ def chunk_offsets(c: Column, pairs=C.CHUNK_PAIRS) -> Column:
         init = F.struct(F.lit(0).alias("p"),
                         F.array().cast("array<struct<type:string,chunk:string,start:int,end:int>>").alias("out"))
 
-        def step(acc, m, o=o):
-            start = F.call_function("locate", m, c, acc["p"] + 1) - 1
-            end = start + F.length(m)
-            item = F.struct(F.lit(o).alias("type"), m.alias("chunk"), start.alias("start"), end.cast("int").alias("end"))
-            return F.struct(end.cast("int").alias("p"), F.array_append(acc["out"], item).alias("out"))
+        def make_step(o):
+            def step(acc, m):
+                return _offset_step(c, o, acc, m)
+            return step
 
-        parts.append(F.aggregate(ms, init, step, lambda acc: acc["out"]))
+        parts.append(F.aggregate(ms, init, make_step(o), lambda acc: acc["out"]))
     return F.concat(*parts)
 
 
+def _offset_step(c: Column, o: str, acc: Column, m: Column) -> Column:
+    start = F.call_function("locate", m, c, acc["p"] + 1) - 1
+    end = start + F.length(m)
+    item = F.struct(F.lit(o).alias("type"), m.alias("chunk"), start.alias("start"), end.cast("int").alias("end"))
+    return F.struct(end.cast("int").alias("p"), F.array_append(acc["out"], item).alias("out"))
+
+
 def bracket_strip(c: Column, pairs=C.CHUNK_PAIRS, types=C.CLEAN_CHUNK_TYPES) -> Column:
     """Remove every chunk of the cleaning types, chunks found on the text
     *before* removal, each chunk string removed everywhere, in list order."""

@@ -96,4 +96,4 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM_SQL = """stream AS (
-  SELECT event_id AS id, ts, epoch_ms(ts) AS publishAt, user_id, event_type, value FROM events)"""
+  SELECT event_id AS id, ts, epoch_us(ts) // 1000 AS publishAt, user_id, event_type, value FROM events)"""

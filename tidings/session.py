@@ -62,12 +62,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def ntz_to_ms(ts: Column) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ read as UTC wall time (session-TZ free)."""
-    return F.timestampdiff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
 def local_wall_time(ms: Column, tz: str = DEFAULT_TZ) -> Column:
     """Wall-clock TIMESTAMP_NTZ of epoch ms in ``tz``, independent of the session zone."""
-    utc_wall = F.timestampadd("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    utc_wall = F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_wall)
 
 
@@ -81,4 +81,4 @@ def local_ms_of_date(day: Column, tz: str = DEFAULT_TZ) -> Column:
     """Epoch ms of local midnight of a DATE in ``tz`` (NULL stays NULL)."""
     wall = day.cast("timestamp_ntz")
     utc_wall = F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
-    return F.timestampdiff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc_wall)
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), utc_wall)
