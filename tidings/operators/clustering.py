@@ -137,3 +137,110 @@ def cluster_score(members: DataFrame, vec_col: str, dim: int, cluster_col: str =
     n = F.col("size")
     return agg.select(cluster_col, "size",
                       F.when(n == 1, F.lit(1.0)).otherwise((sq - n) / (n * n - n)).alias("score"))
+
+
+def merge_predicate(tov: Column, cov: Column, t: Column, c: Column, rules=C.MERGE_RULES) -> Column:
+    """First true of the keyword-overlap rules; ``t``/``c`` are the later
+    cluster's title / content keyword counts (directional, floors may be 0)."""
+    out = F.lit(False)
+    for ft, fc in rules:
+        cond = F.lit(True)
+        if ft is not None:
+            cond = cond & (tov >= F.floor(F.lit(ft) * t))
+        if fc is not None:
+            cond = cond & (cov >= F.floor(F.lit(fc) * c))
+        out = out | cond
+    return out
+
+
+def zero_floor(t: Column, c: Column, rules=C.MERGE_RULES) -> Column:
+    """True when some rule needs no overlap at all (every floor is 0)."""
+    out = F.lit(False)
+    for ft, fc in rules:
+        cond = F.lit(True)
+        if ft is not None:
+            cond = cond & (F.floor(F.lit(ft) * t) == 0)
+        if fc is not None:
+            cond = cond & (F.floor(F.lit(fc) * c) == 0)
+        out = out | cond
+    return out
+
+
+def merge_pairs(clusters: DataFrame, order_col: str = "order", min_size: int = C.MERGE_MIN_SIZE) -> DataFrame:
+    """C9 over clusters(cluster_id, order, size, keywords, content_keywords):
+    pairs (earlier j, later i), both of size > ``min_size``, sharing at least
+    one keyword, for which the predicate holds with i's list lengths.
+
+    Candidates come from a keyword inverted index (join on the keyword), so
+    only clusters with a common keyword meet.
+    """
+    big = clusters.where(F.col("size") > min_size)
+    kw = big.select("cluster_id", order_col,
+                    F.explode(F.array_distinct(F.concat(F.col("keywords"), F.col("content_keywords")))).alias("kw"))
+    cand = (kw.alias("i").join(kw.alias("j"), "kw")
+              .where(F.col(f"j.{order_col}") < F.col(f"i.{order_col}"))
+              .select(F.col("i.cluster_id").alias("i"), F.col("j.cluster_id").alias("j")).distinct())
+    ci = big.select(F.col("cluster_id").alias("i"), F.col("keywords").alias("ti"), F.col("content_keywords").alias("ki"))
+    cj = big.select(F.col("cluster_id").alias("j"), F.col("keywords").alias("tj"), F.col("content_keywords").alias("kj"))
+    j = cand.join(ci, "i").join(cj, "j")
+    tov = F.size(F.array_intersect("ti", "tj"))
+    cov = F.size(F.array_intersect("ki", "kj"))
+    return (j.where(merge_predicate(tov, cov, F.size(F.array_distinct("ti")), F.size(F.array_distinct("ki"))))
+             .select("j", "i", tov.alias("title_overlap"), cov.alias("content_overlap")))
+
+
+def merge_clusters(clusters: DataFrame, status: DataFrame | None = None, order_col: str = "order",
+                   min_size: int = C.MERGE_MIN_SIZE) -> DataFrame:
+    """C10 + C12 (scalable variant): first-fit merge of each big cluster into
+    the first earlier accepted cluster it matches, on the clusters' own
+    (unmerged) keywords, as exact leader rounds over the C9 pairs.
+
+    Zero-floor clusters match every earlier big cluster, so their only
+    useful edge is to the first big cluster.  ``status(id, status)`` marks
+    editor-created clusters: a (1, 1) pair does not merge and stops the
+    search; (1, 0) merges but the survivor takes the later cluster's id.
+    Returns (cluster_id, target, final_id, merged).
+    """
+    from .leaders import leader_rounds
+
+    big = clusters.where(F.col("size") > min_size)
+    pairs = merge_pairs(clusters, order_col, min_size).select(F.col("j").alias("a"), F.col("i").alias("b"))
+    first_id = big.select(F.min_by("cluster_id", order_col)).scalar()  # scalar subquery, no join
+    zf = (big.where(zero_floor(F.size(F.array_distinct("keywords")), F.size(F.array_distinct("content_keywords"))))
+             .select(first_id.alias("a"), F.col("cluster_id").alias("b"))
+             .where(F.col("a") != F.col("b")))
+    edges = pairs.unionByName(zf).distinct()
+    if status is not None:
+        st = status.select(F.col("id").alias("_sid"), F.col("status"))
+        ids = clusters.select("cluster_id", "id")
+        e = (edges.join(ids.select(F.col("cluster_id").alias("a"), F.col("id").alias("a_id")), "a")
+                  .join(ids.select(F.col("cluster_id").alias("b"), F.col("id").alias("b_id")), "b")
+                  .join(st.select(F.col("_sid").alias("a_id"), F.col("status").alias("sa")), "a_id", "left")
+                  .join(st.select(F.col("_sid").alias("b_id"), F.col("status").alias("sb")), "b_id", "left"))
+        edges = e.select("a", "b", ((F.col("sb") == "1") & (F.col("sa") == "1")).alias("stop"))
+    nodes = clusters.select(F.col("cluster_id").alias("node"), F.col(order_col).alias("pos"))
+    lead = leader_rounds(nodes, edges)
+    res = lead.select(F.col("node").alias("cluster_id"), F.col("leader").alias("target"))
+    res = res.join(clusters.select("cluster_id", "id"), "cluster_id")
+    if status is not None:
+        # (1, 0): the survivor j takes i's id when i is editor-created and j is not.
+        st = status.select(F.col("id"), F.col("status"))
+        tgt = clusters.select(F.col("cluster_id").alias("target"), F.col("id").alias("target_id"))
+        res = (res.join(tgt, "target")
+                  .join(st.select(F.col("id"), F.col("status").alias("s_self")), "id", "left")
+                  .join(st.select(F.col("id").alias("target_id"), F.col("status").alias("s_target")), "target_id", "left"))
+        swap = (F.col("target") != F.col("cluster_id")) & (F.col("s_self") == "1") & (F.col("s_target") == "0")
+        res = res.withColumn("swap", swap)
+    else:
+        res = res.join(clusters.select(F.col("cluster_id").alias("target"), F.col("id").alias("target_id")), "target") \
+                 .withColumn("swap", F.lit(False))
+    return res.select("cluster_id", "id", "target", "target_id", (F.col("target") != F.col("cluster_id")).alias("merged"), "swap")
+
+
+def tombstones(merge: DataFrame) -> DataFrame:
+    """Delete rows (id, hot 0, delFlag 1) for merged clusters.  In the
+    protected (1, 0) case the survivor took the merged cluster's id, so the
+    tombstone carries the survivor's old id."""
+    m = merge.where("merged")
+    return m.select(F.when(F.col("swap"), F.col("target_id")).otherwise(F.col("id")).alias("id"),
+                    F.lit(0).alias("hot"), F.lit(1).alias("delFlag"))
