@@ -58,19 +58,13 @@ def token_features_v1(df: DataFrame, title_seg: str = "seg_title", content_seg:
 def token_offsets(df: DataFrame, id_col: str, seg_col: str) -> DataFrame:
     """(id, idx, word, offset): offset = total length of the preceding words.
 
-    Computed per document as a fold over its token array, so no window
-    sorts a whole document's tokens and the table never leaves its partition.
+    A running sum over the exploded tokens of each document (the window is
+    partitioned by document, so its size is bounded by one document).
     """
-    offs = F.aggregate(
-        F.coalesce(F.col(seg_col), F.array()),
-        F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("o")),
-        lambda acc, t: F.struct((acc["n"] + F.length(t["word"])).alias("n"), F.array_append(acc["o"], acc["n"]).alias("o")),
-        lambda acc: acc["o"],
-    )
-    z = F.arrays_zip(F.col(seg_col).alias("t"), offs.alias("o"))
-    return (df.select(id_col, F.posexplode(z).alias("idx", "z"))
-              .select(id_col, F.col("idx").cast("int").alias("idx"), F.col("z.t.word").alias("word"),
-                      F.col("z.o").alias("offset")))
+    toks = df.select(id_col, F.posexplode(F.coalesce(F.col(seg_col), F.array())).alias("idx", "t"))
+    w = Window.partitionBy(id_col).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    return toks.select(id_col, F.col("idx").cast("int").alias("idx"), F.col("t.word").alias("word"),
+                       F.coalesce(F.sum(F.length("t.word")).over(w), F.lit(0)).cast("int").alias("offset"))
 
 
 def cooccur_edges(df: DataFrame, id_col: str, seg_col: str, natures=C.TEXTRANK_NATURES,
@@ -85,12 +79,14 @@ def cooccur_edges(df: DataFrame, id_col: str, seg_col: str, natures=C.TEXTRANK_N
     nat = list(natures)
     toks = F.coalesce(F.col(seg_col), F.array())
     ok = lambda t: t["nature"].isin(nat) & (F.length(F.trim(t["word"])) >= min_len) & ~F.array_contains(stop, F.lower(t["word"]))
-    flagged = F.transform(toks, lambda t: F.struct(t["word"].alias("word"), ok(t).alias("ok")))
+    # Materialise the flagged tokens first: a lambda that referred to the
+    # flagged *expression* would recompute it per element (quadratic).
+    flagged = df.select(id_col, F.transform(toks, lambda t: F.struct(t["word"].alias("word"), ok(t).alias("ok"))).alias("_f"))
     with_next = F.transform(
-        flagged,
-        lambda t, i: F.struct(t.alias("a"), F.slice(flagged, i + 2, span - 1).alias("nxt")),
+        F.col("_f"),
+        lambda t, i: F.struct(t.alias("a"), F.slice(F.col("_f"), i + 2, span - 1).alias("nxt")),
     )
-    pairs = (df.select(id_col, F.explode(F.filter(with_next, lambda x: x["a"]["ok"])).alias("p"))
+    pairs = (flagged.select(id_col, F.explode(F.filter(with_next, lambda x: x["a"]["ok"])).alias("p"))
                .select(id_col, F.col("p.a.word").alias("w1"), F.explode("p.nxt").alias("b"))
                .where(F.col("b.ok"))
                .select(id_col, "w1", F.col("b.word").alias("w2")))
