@@ -24,7 +24,7 @@ def members(spark, sf_dir):
     a = a.join(d, "id").withColumn("seg_title", S.seg(F.col("title"))).withColumn("seg_content", S.empty_seg())
     a = token_features(a, stop_words=S.STOP_WORDS)
     return a.select(F.concat_ws("/", "dataSource", "lang").alias("cluster_id"), "id", "pos", "title", "publishAt",
-                    "title_words", "content")
+                    "title_words", "content").persist()
 
 
 def clusters(spark, sf_dir):
