@@ -1,0 +1,29 @@
+"""Randomized LSI equals the exact truncated SVD when the sketch spans the range."""
+
+import numpy as np
+
+from tidings.operators import lsi as L
+
+
+def test_lsi_matches_exact_svd(spark):
+    rng = np.random.default_rng(11)
+    n_docs, n_terms, k = 24, 60, 6
+    A = np.where(rng.random((n_docs, n_terms)) < 0.2, rng.random((n_docs, n_terms)), 0.0)
+    rows = [(int(d), f"t{t}", float(A[d, t])) for d in range(n_docs) for t in range(n_terms) if A[d, t] > 0]
+    df = spark.createDataFrame(rows, "id long, term string, w double")
+    got = {r.id: np.array(r.vec) for r in L.lsi_vectors(df, "id", k, oversample=30).collect()}
+    V = np.array([got[d] if d in got else np.zeros(k) for d in range(n_docs)])
+    U, S, Wt = np.linalg.svd(A, full_matrices=False)
+    exact = U[:, :k] * S[:k]
+    # equal up to the sign of each component: compare Gram matrices
+    assert np.allclose(V @ V.T, exact @ exact.T, atol=1e-6)
+
+
+def test_projection_reuses_model(spark):
+    rows = [(1, "a", 1.0), (1, "b", 0.5), (2, "b", 1.0), (2, "c", 1.0), (3, "a", 0.3), (3, "c", 0.7)]
+    df = spark.createDataFrame(rows, "id long, term string, w double")
+    model = L.fit(df, "id", 2, oversample=2)
+    a = {r.id: r.vec for r in L.transform(model, df, "id").collect()}
+    b = {r.id: r.vec for r in L.lsi_vectors(df, "id", 2, oversample=2).collect()}
+    for i in a:
+        assert np.allclose(a[i], b[i])

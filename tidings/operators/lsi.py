@@ -1,0 +1,190 @@
+"""LSI document vectors by distributed randomized SVD.
+
+For the docs × terms TF-IDF matrix A (long table ``(id, term, w)``) the
+k-topic LSI document vectors are the top-k left singular vectors scaled by
+their singular values, U_k Σ_k (= A V_k, the projection the original uses).
+Computed with the randomized range finder (Halko, Martinsson & Tropp 2011):
+
+1. Y = A Ω, Ω a terms × l random matrix (l = k + oversampling) whose entries
+   are *generated from a hash of (term, column)* — nothing per term is
+   stored or broadcast, so the vocabulary never reaches the driver.
+   Summed per document with the same partial / final scheme.
+2. G = Yᵀ Y (l × l) from per-partition partial sums; R = chol(G); Q = Y R⁻¹.
+3. Z = Aᵀ Q: per term Σ_d w_dt Q_d — partial sums per partition first, then
+   per term after one shuffle, so a term occurring in a third of all
+   documents still costs one row per partition.  M = Zᵀ Z = B Bᵀ (l × l) from per-partition partial sums.
+4. M = Ũ Λ Ũᵀ; document vectors = Q Ũ_k Λ_k^{1/2} = Y (R⁻¹ Ũ_k Σ_k).
+
+Only l × l matrices pass through the driver.  The "model" is
+(seed, l, P = R⁻¹ Ũ_k Σ_k): projecting new documents (F13) is step 1 with
+the same seed followed by y·P; refitting (F14) reruns the fit on the
+retained window plus the new batch.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """splitmix64 finaliser on uint64 arrays."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def omega_rows(terms, l: int, seed: int) -> np.ndarray:
+    """len(terms) × l matrix of uniform(-1, 1) entries determined by (term, column, seed)."""
+    import xxhash
+
+    h = np.array([xxhash.xxh64_intdigest(t.encode("utf-8"), seed) for t in terms], dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        cols = (np.arange(1, l + 1, dtype=np.uint64) * _GOLDEN)[None, :]
+        x = _mix(h[:, None] + cols)
+    return (x >> np.uint64(11)).astype(np.float64) / float(1 << 53) * 2.0 - 1.0
+
+
+def keyed_vector_sum(df: DataFrame, key: str, key_type: str, l: int, rows_to_vectors) -> DataFrame:
+    """(key, v array<double>[l]) = Σ over rows of ``rows_to_vectors(pdf)`` per key.
+
+    Partial sums per partition first (vectorised pandas groupby over every
+    Arrow batch of the partition), then one shuffle by key and the final
+    sums — a hot key contributes one row per partition, never a whole group.
+    """
+
+    def partial(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = None
+        for pdf in it:
+            if not len(pdf):
+                continue
+            v = pd.DataFrame(rows_to_vectors(pdf))
+            v.index = pdf[key].to_numpy()
+            s = v.groupby(level=0).sum()
+            acc = s if acc is None else acc.add(s, fill_value=0.0)
+        if acc is not None:
+            yield pd.DataFrame({key: acc.index.to_numpy(), "v": list(map(list, acc.to_numpy()))})
+
+    def final(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = None
+        for pdf in it:
+            if not len(pdf):
+                continue
+            v = pd.DataFrame(np.stack(pdf["v"].to_numpy()).astype(np.float64))
+            v.index = pdf[key].to_numpy()
+            s = v.groupby(level=0).sum()
+            acc = s if acc is None else acc.add(s, fill_value=0.0)
+        if acc is not None:
+            yield pd.DataFrame({key: acc.index.to_numpy(), "v": list(map(list, acc.to_numpy()))})
+
+    schema = f"{key} {key_type}, v array<double>"
+    parts = df.mapInPandas(partial, schema)
+    return parts.repartition(key).mapInPandas(final, schema)
+
+
+def sketch(tfidf: DataFrame, id_col: str, l: int, seed: int) -> DataFrame:
+    """Y = A Ω: (id, y array<double>[l])."""
+    id_type = tfidf.schema[id_col].dataType.simpleString()
+
+    def vecs(pdf: pd.DataFrame) -> np.ndarray:
+        return pdf["w"].to_numpy(dtype=np.float64)[:, None] * omega_rows(pdf["term"].tolist(), l, seed)
+
+    out = keyed_vector_sum(tfidf.select(id_col, "term", "w"), id_col, id_type, l, vecs)
+    return out.withColumnRenamed("v", "y")
+
+
+def gram(vectors: DataFrame, col: str, l: int) -> np.ndarray:
+    """Σ v vᵀ over all rows: per-partition partial sums (one l² row each),
+    summed on the driver — the driver only ever sees l × l numbers per partition."""
+
+    def part(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g = np.zeros((l, l))
+        for pdf in it:
+            if len(pdf):
+                m = np.stack(pdf[col].to_numpy()).astype(np.float64)
+                g += m.T @ m
+        yield pd.DataFrame({"g": [g.ravel().tolist()]})
+
+    parts = vectors.select(col).mapInPandas(part, "g array<double>").collect()
+    return np.sum([np.array(r["g"]) for r in parts], axis=0).reshape(l, l)
+
+
+def _apply(vectors: DataFrame, id_col: str, col: str, mat: np.ndarray, out: str) -> DataFrame:
+    """Row vectors times a broadcast (bounded) matrix."""
+    spark = vectors.sparkSession
+    bc = spark.sparkContext.broadcast(mat)
+    id_type = vectors.schema[id_col].dataType.simpleString()
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = bc.value
+        for pdf in it:
+            if not len(pdf):
+                continue
+            v = np.stack(pdf[col].to_numpy()).astype(np.float64) @ m
+            yield pd.DataFrame({id_col: pdf[id_col], out: list(map(list, v))})
+
+    return vectors.select(id_col, col).mapInPandas(run, f"{id_col} {id_type}, {out} array<double>")
+
+
+def term_side(tfidf: DataFrame, q: DataFrame, id_col: str, l: int) -> DataFrame:
+    """Z = Aᵀ Q as (term, z array<double>[l]): Σ_d w_dt Q_d with partial sums
+    per partition before the shuffle by term (hot terms stay cheap)."""
+    j = tfidf.select(id_col, "term", "w").join(q, id_col).select("term", "w", "q")
+
+    def vecs(pdf: pd.DataFrame) -> np.ndarray:
+        return pdf["w"].to_numpy(dtype=np.float64)[:, None] * np.stack(pdf["q"].to_numpy()).astype(np.float64)
+
+    return keyed_vector_sum(j, "term", "string", l, vecs).withColumnRenamed("v", "z")
+
+
+@dataclass(frozen=True)
+class LsiModel:
+    seed: int
+    l: int
+    k: int
+    projection: np.ndarray  # l × k
+    singular_values: np.ndarray
+
+
+def fit(tfidf: DataFrame, id_col: str, k: int, oversample: int = 10, seed: int = 7) -> LsiModel:
+    """Fit the k-topic model (see module doc)."""
+    model, y = _fit(tfidf, id_col, k, oversample, seed)
+    y.unpersist()
+    return model
+
+
+def _fit(tfidf: DataFrame, id_col: str, k: int, oversample: int, seed: int):
+    l = k + oversample
+    y = sketch(tfidf, id_col, l, seed).persist()
+    g = gram(y, "y", l)
+    r = np.linalg.cholesky(g + 1e-12 * np.trace(g) / l * np.eye(l)).T  # G = Rᵀ R
+    r_inv = np.linalg.inv(r)
+    q = _apply(y, id_col, "y", r_inv, "q")
+    z = term_side(tfidf, q, id_col, l)
+    m = gram(z, "z", l)
+    evals, evecs = np.linalg.eigh(m)
+    order = np.argsort(evals)[::-1][:k]
+    sig = np.sqrt(np.clip(evals[order], 0.0, None))
+    proj = r_inv @ evecs[:, order] * sig[None, :]
+    return LsiModel(seed, l, k, proj, sig), y
+
+
+def transform(model: LsiModel, tfidf: DataFrame, id_col: str) -> DataFrame:
+    """document vectors (id, vec array<double>[k]) of any TF-IDF table."""
+    y = sketch(tfidf, id_col, model.l, model.seed)
+    return _apply(y, id_col, "y", model.projection, "vec")
+
+
+def lsi_vectors(tfidf: DataFrame, id_col: str, k: int, oversample: int = 10, seed: int = 7) -> DataFrame:
+    """fit on ``tfidf`` and return its documents' k-topic vectors (the
+    sketch Y is computed once and reused for the projection)."""
+    model, y = _fit(tfidf, id_col, k, oversample, seed)
+    return _apply(y, id_col, "y", model.projection, "vec")
