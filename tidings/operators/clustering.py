@@ -79,9 +79,9 @@ def title_pick(members: DataFrame, keywords: DataFrame, words_col: str = "title_
     j = join_small(members, keywords, cluster_col, "left", est_clusters)
     ov = F.size(F.array_intersect(F.coalesce(F.col("keywords"), F.array()), F.col(words_col)))
     nw = F.size(F.array_distinct(F.col(words_col)))
-    key = F.struct(ov.alias("ov"), (-nw if prefer_fewer_words else F.lit(0)).alias("nw"), (-F.col("pos")).alias("p"))
+    key = F.struct((-ov).alias("ov"), (nw if prefer_fewer_words else F.lit(0)).alias("nw"), F.col("pos").alias("p"))
     best = (j.withColumn("_ov", ov).where(F.col("_ov") > 0)
-             .groupBy(cluster_col).agg(F.max_by(F.col("title"), key).alias("title")))
+             .groupBy(cluster_col).agg(F.min_by(F.col("title"), key).alias("title")))
     allc = members.select(cluster_col).distinct()
     return allc.join(best, cluster_col, "left").select(cluster_col, F.coalesce("title", F.lit("")).alias("title"))
 
@@ -244,3 +244,31 @@ def tombstones(merge: DataFrame) -> DataFrame:
     m = merge.where("merged")
     return m.select(F.when(F.col("swap"), F.col("target_id")).otherwise(F.col("id")).alias("id"),
                     F.lit(0).alias("hot"), F.lit(1).alias("delFlag"))
+
+
+def merged_attributes(members: DataFrame, merge: DataFrame, clusters: DataFrame, words_col: str = "title_words",
+                      order_col: str = "order", k: int = C.KEYWORDS_TOPK) -> DataFrame:
+    """C11/C14: attributes of the clusters after merging, recomputed from the
+    merged membership: keywords recounted over all member titles (the
+    surviving cluster's members first), title by max overlap then first
+    (C6b), time span from all members; id follows the editor swap.
+
+    ``merge`` is the output of :func:`merge_clusters`.
+    """
+    ordmap = clusters.select("cluster_id", F.col(order_col).alias("_ord"))
+    m = (members.join(merge.select("cluster_id", "target"), "cluster_id")
+                .join(ordmap, "cluster_id")
+                .withColumn("_own", (F.col("cluster_id") != F.col("target")).cast("int"))
+                .withColumn("pos", F.struct("_own", "_ord", F.col("pos").alias("p")))
+                .withColumn("cluster_id", F.col("target")))
+    kw = title_keywords(m, words_col, k)
+    title = title_pick(m, kw, words_col, prefer_fewer_words=False)
+    span = m.groupBy("cluster_id").agg(F.count("*").alias("size"), F.max("publishAt").alias("publish_time"),
+                                       F.min("publishAt").alias("min_publishtime"),
+                                       F.max("publishAt").alias("max_publishtime"))
+    ids = (merge.where(F.col("cluster_id") == F.col("target"))
+                .select("cluster_id", "id")
+                .join(merge.where("swap").groupBy(F.col("target").alias("cluster_id"))
+                           .agg(F.min_by("id", "cluster_id").alias("_swapped")), "cluster_id", "left")
+                .select("cluster_id", F.coalesce("_swapped", "id").alias("id")))
+    return (span.join(ids, "cluster_id").join(kw, "cluster_id", "left").join(title, "cluster_id", "left"))

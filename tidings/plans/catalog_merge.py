@@ -165,3 +165,14 @@ def cluster_upsert_q(spark, sf_dir):
     log = (st.groupBy(format_ms(F.col("publishAt"), "yyyyMMdd").alias("batch_id"), F.col("user_id").alias("id"))
              .agg(F.count("*").alias("hot"), F.max("publishAt").alias("publishAt")))
     return latest_per_id(log, "id", "batch_id").select("id", "batch_id", "hot", "publishAt")
+
+
+@query("merged_clusters")
+def merged_clusters_q(spark, sf_dir):
+    """C11: cluster attributes after the keyword merge (recomputed from the
+    merged membership)."""
+    c = clusters(spark, sf_dir)
+    m = CL.merge_clusters(c, status(spark, sf_dir))
+    out = CL.merged_attributes(members(spark, sf_dir), m, c)
+    return out.select("cluster_id", "id", "size", F.array_join("keywords", ",").alias("keywords"), "title",
+                      "publish_time", "min_publishtime", "max_publishtime")

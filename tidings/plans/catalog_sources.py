@@ -143,3 +143,18 @@ g AS (SELECT line_no, unnest(list_distinct(string_split({STRIP.format(x="split_p
 SELECT DISTINCT 'syn' AS file, a.w AS word, b.w AS syn FROM g a JOIN g b USING (line_no)""")
 def synonym_pairs_q(spark, sf_dir):
     return L.synonym_pairs(synonym_lines(spark, sf_dir))
+
+
+@query("jsonl_roundtrip", f"""WITH {S.ARTICLES_SQL}
+SELECT id, title, dataSource, publishAt FROM articles""")
+def jsonl_roundtrip_q(spark, sf_dir):
+    """K6 → S1: articles written as JSON lines (under the shared checkpoint
+    folder), read back with the explicit article schema, malformed lines
+    dropped and rows without title/content skipped."""
+    from ..streaming.live import scratch_root
+    path = scratch_root(spark, "articles-jsonl")
+    a = S.articles(spark, sf_dir)
+    out = a.select(F.col("id").cast("string").alias("id"), "title", "content", "dataSource", "publishAt")
+    out.write.mode("overwrite").json(path)
+    back = scan.read_articles(spark, path)
+    return back.select(F.col("id").cast("long").alias("id"), "title", "dataSource", "publishAt")
