@@ -69,3 +69,43 @@ def test_ner_islands_fixture(spark):
     exp = [("d", "Ni", 0, 2), ("d", "Ni", 4, 5), ("d", "Nh", 6, 7), ("d", "Ni", 8, 10), ("d", "Nh", 11, 12),
            ("d", "Nh", 14, 15), ("d", "Ns", 19, 20), ("d", "Ns", 21, 22), ("e", "Ns", 0, 2)]
     assert got == sorted(exp)
+
+
+def _sequential_f4(s, segs):
+    import re
+    from tidings import config as C
+    info = {}
+    for o, e in C.CHUNK_PAIRS:
+        for m in re.finditer("[{0}](.*?)[{1}]".format(re.escape(o), re.escape(e)), s):
+            info[m.start()] = (m.group(0), m.end())
+    out, new_word, end = [], None, None
+    for w, n, off in segs:
+        if off == end:
+            new_word, end = None, None
+        if off in info and end is None:
+            new_word = info[off][0]
+            out.append((new_word, "n", off))
+            end = info[off][1]
+        if new_word is None:
+            out.append((w, n, off))
+    return out
+
+
+def test_chunk_token_merge_matches_sequential(spark):
+    import re
+    from pyspark.sql import functions as F
+    from tidings.functions.text import chunk_offsets
+    texts = ["政府(今天)发布《通知》要求", "a (b c) d [e] f", "x 《未闭合 y", "开始“引号”结束(尾", "(a)(b)c"]
+    rows = []
+    for t in texts:
+        toks = re.findall(r"[A-Za-z]+|[^A-Za-z]", t)
+        offs, o = [], 0
+        for w in toks:
+            offs.append(o)
+            o += len(w)
+        rows.append((t, [(w, "x", off) for w, off in zip(toks, offs)]))
+    df = spark.createDataFrame(rows, "s string, seg array<struct<word:string,nature:string,offset:int>>")
+    ch = F.transform(chunk_offsets(F.col("s")), lambda c: F.struct(c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end")))
+    got = df.select("s", A.merge_chunk_tokens(F.col("seg"), ch).alias("m")).collect()
+    for r, (t, seg) in zip(got, rows):
+        assert [(x.word, x.nature, x.offset) for x in r.m] == _sequential_f4(t, seg)

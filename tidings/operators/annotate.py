@@ -227,3 +227,60 @@ def triples(sents: DataFrame, keys, right_len: bool = False) -> DataFrame:
             yield pd.DataFrame(rows, columns=k + ["k", "sub", "verb", "obj", "type"])
 
     return sents.select(*k, "words", "postags", "arcs").mapInPandas(run, schema)
+
+
+# --- F4: merge tokens covered by a special chunk -----------------------------
+
+def merge_chunk_tokens(seg: "Column", chunks: "Column") -> "Column":
+    """F4 as a fold over one sentence's tokens (array<struct<word, nature, offset>>).
+
+    ``chunks`` is array<struct<chunk, start, end>> (see ``text.chunk_offsets``).
+    A token starting where a chunk starts (when no chunk is open) is replaced
+    by one ``n`` token holding the chunk text; following tokens are skipped
+    until a token starts exactly at the chunk's end — if none does, the rest
+    of the sentence is dropped (as in the original).  For equal starts the
+    last-listed chunk wins.
+    """
+    from pyspark.sql import Column  # noqa: F401
+
+    last = F.filter(chunks, lambda c, i: ~F.exists(F.slice(chunks, i + 2, F.size(chunks)), lambda d: d["start"] == c["start"]))
+    tok_t = "struct<word:string,nature:string,offset:int>"
+    init = F.struct(F.lit(None).cast("int").alias("end"), F.lit(False).alias("open"),
+                    F.array().cast(f"array<{tok_t}>").alias("out"))
+
+    def step(acc, t):
+        reset = acc["end"].isNotNull() & (t["offset"] == acc["end"])
+        end0 = F.when(reset, F.lit(None).cast("int")).otherwise(acc["end"])
+        open0 = F.when(reset, F.lit(False)).otherwise(acc["open"])
+        hit = F.try_element_at(F.filter(last, lambda c: c["start"] == t["offset"]), F.lit(1))
+        start_chunk = hit.isNotNull() & end0.isNull()
+        chunk_tok = F.struct(hit["chunk"].alias("word"), F.lit("n").alias("nature"), t["offset"].cast("int").alias("offset"))
+        plain_tok = F.struct(t["word"].alias("word"), t["nature"].alias("nature"), t["offset"].cast("int").alias("offset"))
+        out = (F.when(start_chunk, F.array_append(acc["out"], chunk_tok))
+                .when(~open0, F.array_append(acc["out"], plain_tok))
+                .otherwise(acc["out"]))
+        return F.struct(F.when(start_chunk, hit["end"].cast("int")).otherwise(end0).alias("end"),
+                        (start_chunk | open0).alias("open"), out.alias("out"))
+
+    return F.aggregate(seg, init, step, lambda acc: acc["out"])
+
+
+def role_triples(roles: DataFrame, sents: DataFrame, keys) -> DataFrame:
+    """Per predicate, the A0 / A1 / TMP / LOC argument spans as text.
+
+    ``roles`` is (keys…, pred, role, start, end) with inclusive token spans;
+    each span joins the sentence's tokens (a range condition inside one
+    sentence), is concatenated in token order, and the roles are pivoted.
+    """
+    k = list(keys)
+    toks = exploded_arcs(sents, k).select(*k, "idx", "word")
+    spans = (roles.join(toks, k)
+                  .where((F.col("idx") >= F.col("start")) & (F.col("idx") <= F.col("end")))
+                  .groupBy(*k, "pred", "role")
+                  .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "word"))), lambda s: s["word"]), "")
+                        .alias("text")))
+    piv = spans.groupBy(*k, "pred").pivot("role", ["A0", "A1", "TMP", "LOC"]).agg(F.first("text"))
+    verbs = toks.select(*k, F.col("idx").alias("pred"), F.col("word").alias("verb"))
+    return (roles.select(*k, "pred").distinct().join(piv, k + ["pred"], "left").join(verbs, k + ["pred"])
+                 .select(*k, "pred", F.coalesce("A0", F.lit("")).alias("sub"), "verb",
+                         F.coalesce("A1", F.lit("")).alias("obj"), F.col("TMP").alias("tmp"), F.col("LOC").alias("loc")))

@@ -123,3 +123,57 @@ def triples_q(spark, sf_dir):
     """subject–verb–object triples per sentence (per-row helper;
     rules checked by golden tests on hand-written parses)."""
     return A.triples(_sents(spark, sf_dir), KEYS)
+
+
+def _stand_in_roles(sents):
+    """Stand-in role labels: for every verb p, A0 = tokens [p-2, p-1] and
+    A1 = [p+1, p+2], clipped to the sentence (no TMP / LOC roles)."""
+    t = A.exploded_arcs(sents, KEYS)
+    n = sents.select(*KEYS, F.size("words").alias("n"))
+    v = t.where(F.col("postag") == "v").select(*KEYS, F.col("idx").alias("pred")).join(n, KEYS)
+    a0 = v.where(F.col("pred") > 0).select(*KEYS, "pred", F.lit("A0").alias("role"),
+                                             F.greatest(F.col("pred") - 2, F.lit(0)).alias("start"), (F.col("pred") - 1).alias("end"))
+    a1 = v.where(F.col("pred") < F.col("n") - 1).select(*KEYS, "pred", F.lit("A1").alias("role"), (F.col("pred") + 1).alias("start"),
+                                                        F.least(F.col("pred") + 2, F.col("n") - 1).alias("end"))
+    return a0.unionByName(a1)
+
+
+@query("role_triples", f"""WITH {PARSE_SQL},
+v AS (SELECT a.doc_id, a.s_idx, a.idx AS pred, a.word AS verb, m.n FROM arcs a
+      JOIN (SELECT doc_id, s_idx, count(*) AS n FROM arcs GROUP BY 1, 2) m USING (doc_id, s_idx) WHERE a.postag = 'v'),
+r AS (SELECT doc_id, s_idx, pred, 'A0' AS role, greatest(pred - 2, 0) AS start, pred - 1 AS "end" FROM v WHERE pred > 0
+      UNION ALL SELECT doc_id, s_idx, pred, 'A1', pred + 1, least(pred + 2, n - 1) FROM v WHERE pred < n - 1),
+sp AS (SELECT r.doc_id, r.s_idx, r.pred, r.role, string_agg(a.word, '' ORDER BY a.idx) AS text
+       FROM r JOIN arcs a ON a.doc_id = r.doc_id AND a.s_idx = r.s_idx AND a.idx BETWEEN r.start AND r."end"
+       GROUP BY 1, 2, 3, 4)
+SELECT v.doc_id, v.s_idx, v.pred, coalesce(s0.text, '') AS sub, v.verb, coalesce(s1.text, '') AS obj,
+       CAST(NULL AS VARCHAR) AS tmp, CAST(NULL AS VARCHAR) AS loc
+FROM v LEFT JOIN sp s0 ON s0.doc_id = v.doc_id AND s0.s_idx = v.s_idx AND s0.pred = v.pred AND s0.role = 'A0'
+       LEFT JOIN sp s1 ON s1.doc_id = v.doc_id AND s1.s_idx = v.s_idx AND s1.pred = v.pred AND s1.role = 'A1'
+WHERE v.n > 1""")
+def role_triples_q(spark, sf_dir):
+    s = _sents(spark, sf_dir)
+    return A.role_triples(_stand_in_roles(s), s, KEYS)
+
+
+def _full_seg(c):
+    """Tokens covering the whole sentence (letter runs or single other chars)
+    with offsets = running length, so they line up with chunk offsets."""
+    runs = F.regexp_extract_all(c, F.lit("[A-Za-z]+|[^A-Za-z]"), 0)
+    lens = F.transform(runs, F.length)
+    return F.transform(runs, lambda x, i: F.struct(
+        x.alias("word"), F.when(x.rlike("^[A-Za-z]"), F.lit("n")).otherwise(F.lit("w")).alias("nature"),
+        F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, b: a + b).cast("int").alias("offset")))
+
+
+@query("chunk_token_merge")
+def chunk_token_merge_q(spark, sf_dir):
+    """sentence tokens with bracket / quote chunks merged into one token
+    (fold per sentence; checked against the sequential rule in tests)."""
+    from ..functions.text import chunk_offsets
+    d = S.table(spark, sf_dir, "documents")
+    s = d.select("doc_id", F.posexplode(F.split("text", "\\n")).alias("s_idx", "sentence"))
+    s = s.withColumn("seg", _full_seg(F.col("sentence"))).withColumn(
+        "ch", F.transform(chunk_offsets(F.col("sentence")), lambda c: F.struct(c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end"))))
+    m = s.select("doc_id", "s_idx", A.merge_chunk_tokens(F.col("seg"), F.col("ch")).alias("toks"))
+    return m.select("doc_id", "s_idx", F.posexplode("toks").alias("k", "t")).select("doc_id", "s_idx", "k", "t.word", "t.nature", "t.offset")
