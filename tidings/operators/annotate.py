@@ -262,7 +262,11 @@ def merge_chunk_tokens(seg: "Column", chunks: "Column") -> "Column":
         return F.struct(F.when(start_chunk, hit["end"].cast("int")).otherwise(end0).alias("end"),
                         (start_chunk | open0).alias("open"), out.alias("out"))
 
-    return F.aggregate(seg, init, step, lambda acc: acc["out"])
+    folded = F.aggregate(seg, init, step, lambda acc: acc["out"])
+    # Sentences without chunks pass through untouched (no fold at all).
+    plain = F.transform(seg, lambda t: F.struct(t["word"].alias("word"), t["nature"].alias("nature"),
+                                                t["offset"].cast("int").alias("offset")))
+    return F.when(F.size(chunks) == 0, plain).otherwise(folded)
 
 
 def role_triples(roles: DataFrame, sents: DataFrame, keys) -> DataFrame:

@@ -156,14 +156,17 @@ def role_triples_q(spark, sf_dir):
     return A.role_triples(_stand_in_roles(s), s, KEYS)
 
 
-def _full_seg(c):
+def _full_seg(df, keys, col):
     """Tokens covering the whole sentence (letter runs or single other chars)
-    with offsets = running length, so they line up with chunk offsets."""
-    runs = F.regexp_extract_all(c, F.lit("[A-Za-z]+|[^A-Za-z]"), 0)
-    lens = F.transform(runs, F.length)
-    return F.transform(runs, lambda x, i: F.struct(
-        x.alias("word"), F.when(x.rlike("^[A-Za-z]"), F.lit("n")).otherwise(F.lit("w")).alias("nature"),
-        F.aggregate(F.slice(lens, 1, i), F.lit(0), lambda a, b: a + b).cast("int").alias("offset")))
+    with offsets = running length (a per-sentence window), so they line up
+    with chunk offsets."""
+    from pyspark.sql import Window
+    t = df.select(*keys, F.posexplode(F.regexp_extract_all(col, F.lit("[A-Za-z]+|[^A-Za-z]"), 0)).alias("i", "w"))
+    w = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("offset", F.coalesce(F.sum(F.length("w")).over(w), F.lit(0)).cast("int"))
+    return t.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "w", "offset"))), lambda x: F.struct(
+        x["w"].alias("word"), F.when(x["w"].rlike("^[A-Za-z]"), F.lit("n")).otherwise(F.lit("w")).alias("nature"),
+        x["offset"].alias("offset"))).alias("seg"))
 
 
 @query("chunk_token_merge")
@@ -172,8 +175,8 @@ def chunk_token_merge_q(spark, sf_dir):
     (fold per sentence; checked against the sequential rule in tests)."""
     from ..functions.text import chunk_offsets
     d = S.table(spark, sf_dir, "documents")
-    s = d.select("doc_id", F.posexplode(F.split("text", "\\n")).alias("s_idx", "sentence"))
-    s = s.withColumn("seg", _full_seg(F.col("sentence"))).withColumn(
+    s = d.select("doc_id", F.posexplode(F.split("text", "\\.")).alias("s_idx", "sentence")).persist()
+    s = s.join(_full_seg(s, ["doc_id", "s_idx"], F.col("sentence")), ["doc_id", "s_idx"]).withColumn(
         "ch", F.transform(chunk_offsets(F.col("sentence")), lambda c: F.struct(c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end"))))
     m = s.select("doc_id", "s_idx", A.merge_chunk_tokens(F.col("seg"), F.col("ch")).alias("toks"))
     return m.select("doc_id", "s_idx", F.posexplode("toks").alias("k", "t")).select("doc_id", "s_idx", "k", "t.word", "t.nature", "t.offset")
