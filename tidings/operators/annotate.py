@@ -112,27 +112,49 @@ def _children(heads, rels):
     return kids
 
 
-def _phrase(words, tags, kids, i, depth=0):
-    """Argument phrase of token i (ATT prefix, COO suffix, verb SBV/VOB)."""
-    if depth > len(words):
-        return words[i]
-    c = kids[i]
-    pre, post = "", ""
-    for j in c.get("ATT", []):
-        pre += _phrase(words, tags, kids, j, depth + 1)
-    for j in c.get("COO", []):
-        post += ("" if j - i == 1 else "、") + _phrase(words, tags, kids, j, depth + 1)
-    if tags[i] == "v":
-        if "VOB" in c:
-            post += _phrase(words, tags, kids, c["VOB"][0], depth + 1)
-        if "SBV" in c:
-            pre = _phrase(words, tags, kids, c["SBV"][0], depth + 1) + pre
-    return pre + words[i] + post
+def _phrase_m(words, tags, kids, root, memo=None):
+    """Argument phrase of token ``root``: ATT phrases + word + COO phrases
+    ('、' unless adjacent), plus the SBV prefix and VOB suffix for verbs.
+    Bottom-up with an explicit stack (parse trees can be deep), memoised
+    per sentence."""
+    memo = {} if memo is None else memo
+    stack = [(root, False)]
+    entered = set()
+    while stack:
+        i, ready = stack.pop()
+        if i in memo:
+            continue
+        c = kids[i]
+        deps = list(c.get("ATT", [])) + list(c.get("COO", []))
+        if tags[i] == "v":
+            deps += c.get("VOB", [])[:1] + c.get("SBV", [])[:1]
+        if not ready:
+            if i in entered:  # malformed (cyclic) input: stop here
+                memo[i] = words[i]
+                continue
+            entered.add(i)
+            stack.append((i, True))
+            stack.extend((d, False) for d in deps if d not in memo)
+            continue
+        pre = "".join(memo.get(j, words[j]) for j in c.get("ATT", []))
+        post = "".join(("" if j - i == 1 else "、") + memo.get(j, words[j]) for j in c.get("COO", []))
+        if tags[i] == "v":
+            if "VOB" in c:
+                post += memo.get(c["VOB"][0], words[c["VOB"][0]])
+            if "SBV" in c:
+                pre = memo.get(c["SBV"][0], words[c["SBV"][0]]) + pre
+        memo[i] = pre + words[i] + post
+    return memo[root]
 
 
 def sentence_triples(words, tags, heads, rels, right_len: bool = False):
     """X4 + X5 for one sentence → (triples [(sub, verb, obj, type)], core words [(word, offe)])."""
     kids = _children(heads, rels)
+    memo: dict = {}
+
+    def _phrase(w, tg, kd, i):  # noqa: F811 - per-sentence memo
+        return _phrase_m(w, tg, kd, i, memo)
+
     out = []
     for i, t in enumerate(tags):
         if t != "v":
