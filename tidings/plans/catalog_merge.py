@@ -176,3 +176,19 @@ def merged_clusters_q(spark, sf_dir):
     out = CL.merged_attributes(members(spark, sf_dir), m, c)
     return out.select("cluster_id", "id", "size", F.array_join("keywords", ",").alias("keywords"), "title",
                       "publish_time", "min_publishtime", "max_publishtime")
+
+
+@query("cluster_report")
+def cluster_report_q(spark, sf_dir):
+    """K5: one report line per cluster (title, hot, keywords, number of hot
+    event clusters among its core events)."""
+    from ..operators import events as EV
+    from ..operators.sinks import report_lines
+    from .catalog_events import stand_in_events
+    ev = stand_in_events(spark, sf_dir)
+    hot = EV.hot_events(EV.event_stats(EV.event_merge(EV.complete(EV.core_filter(ev)), None, ["cluster_id"]), ["cluster_id"]),
+                        ["cluster_id"], 1)
+    from .catalog_clusters import source_members
+    m = source_members(spark, sf_dir)
+    summary = CL.cluster_record(m).join(CL.title_keywords(m), "cluster_id").join(CL.title_pick(m, CL.title_keywords(m)), "cluster_id")
+    return report_lines(summary, hot)

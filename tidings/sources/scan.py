@@ -144,3 +144,28 @@ def tumbling_counts(df: DataFrame, ts_col: str, width: str) -> DataFrame:
     return (df.groupBy(F.window(ts_col, width).alias("w"))
               .agg(F.count("*").alias("n"))
               .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n"))
+
+
+def read_mark(spark: SparkSession, root: str, default_ms: int) -> int:
+    """The last committed progress mark (epoch ms) under ``root``, or
+    ``default_ms`` (e.g. now − 1 day) when none was written yet.  Marks are
+    one-row parquet files in versioned folders; the highest version wins."""
+    try:
+        df = spark.read.parquet(f"{root}/v=*")
+    except Exception:  # noqa: BLE001 - no mark yet
+        return default_ms
+    row = df.agg(F.max_by("mark", "version").alias("m")).first()
+    return int(row["m"]) if row and row["m"] is not None else default_ms
+
+
+def write_mark(spark: SparkSession, root: str, version: int, mark_ms: int) -> None:
+    """Commit a progress mark after a batch succeeded (new version folder,
+    never overwriting the one being read)."""
+    spark.createDataFrame([(version, mark_ms)], "version long, mark long") \
+         .write.mode("overwrite").parquet(f"{root}/v={version:012d}")
+
+
+def days_ago(now_ms: int, n: float) -> int:
+    """Epoch ms ``n`` days before ``now_ms`` (``now`` is a parameter, never
+    the wall clock, so tested queries are reproducible)."""
+    return int(now_ms - n * DAY_MS)
