@@ -186,7 +186,7 @@ def cluster_report_q(spark, sf_dir):
     from ..operators.sinks import report_lines
     from .catalog_events import stand_in_events
     ev = stand_in_events(spark, sf_dir)
-    hot = EV.hot_events(EV.event_stats(EV.event_merge(EV.complete(EV.core_filter(ev)), None, ["cluster_id"]), ["cluster_id"]),
+    hot = EV.hot_events(EV.event_stats(EV.event_merge(EV.complete(EV.core_filter(ev)), None, ["cluster_id"], block_fields=("verb", "obj")), ["cluster_id"]),
                         ["cluster_id"], 1)
     from .catalog_clusters import source_members
     m = source_members(spark, sf_dir)
