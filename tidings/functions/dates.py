@@ -92,8 +92,13 @@ def split_range(chunk: Column) -> Column:
 
 
 def date_chunks(s: Column) -> Column:
-    """D1 + D2: struct<rpt, tmp> chunk strings of one sentence (NULL = none)."""
-    return F.struct(first_hit(s, rpt_patterns()).alias("rpt"), first_hit(s, tmp_patterns()).alias("tmp"))
+    """D1 + D2: struct<rpt, tmp> chunk strings of one sentence (NULL = none).
+
+    Every pattern contains 日, so sentences without it skip the regex grid."""
+    has_day = F.instr(s, "日") > 0
+    none = F.lit(None).cast("string")
+    return F.struct(F.when(has_day, first_hit(s, rpt_patterns())).otherwise(none).alias("rpt"),
+                    F.when(has_day, first_hit(s, tmp_patterns())).otherwise(none).alias("tmp"))
 
 
 def _numeral(x: Column) -> Column:
