@@ -15,9 +15,17 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.driver.memory", "4g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-test-ckpt-"))
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def _clear_cache(spark):
+    """Drop tables cached by a module's queries before the next module runs."""
+    yield
+    spark.catalog.clearCache()
