@@ -23,6 +23,8 @@ retained window plus the new batch.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -163,7 +165,7 @@ def fit(tfidf: DataFrame, id_col: str, k: int, oversample: int = 10, seed: int =
 
 def _fit(tfidf: DataFrame, id_col: str, k: int, oversample: int, seed: int):
     l = k + oversample
-    y = sketch(tfidf, id_col, l, seed).persist()
+    y = sketch(tfidf, id_col, l, seed).persist(StorageLevel.DISK_ONLY)
     g = gram(y, "y", l)
     r = np.linalg.cholesky(g + 1e-12 * np.trace(g) / l * np.eye(l)).T  # G = Rᵀ R
     r_inv = np.linalg.inv(r)

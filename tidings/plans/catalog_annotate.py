@@ -10,6 +10,8 @@ capitalised runs are ``S-Nh`` (≤ 5 letters) or ``S-Ni``, others ``O``.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 from pyspark.sql import functions as F
 
 from ..operators import annotate as A
@@ -76,7 +78,7 @@ chunks AS (
 
 
 def _sents(spark, sf_dir):
-    return parsed(spark, sf_dir).persist()
+    return parsed(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
 
 
 @query("child_map", f"""WITH {PARSE_SQL}
@@ -175,7 +177,7 @@ def chunk_token_merge_q(spark, sf_dir):
     (fold per sentence; checked against the sequential rule in tests)."""
     from ..functions.text import chunk_offsets
     d = S.table(spark, sf_dir, "documents")
-    s = d.select("doc_id", F.posexplode(F.split("text", "\\.")).alias("s_idx", "sentence")).persist()
+    s = d.select("doc_id", F.posexplode(F.split("text", "\\.")).alias("s_idx", "sentence")).persist(StorageLevel.DISK_ONLY)
     s = s.join(_full_seg(s, ["doc_id", "s_idx"], F.col("sentence")), ["doc_id", "s_idx"]).withColumn(
         "ch", F.transform(chunk_offsets(F.col("sentence")), lambda c: F.struct(c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end"))))
     m = s.select("doc_id", "s_idx", A.merge_chunk_tokens(F.col("seg"), F.col("ch")).alias("toks"))

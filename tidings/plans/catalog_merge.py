@@ -9,6 +9,8 @@ raw content terms).  Editor status: the cluster id (first member doc) is
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
+
 from pyspark.sql import functions as F
 
 from ..operators import clustering as CL
@@ -24,7 +26,7 @@ def members(spark, sf_dir):
     a = a.join(d, "id").withColumn("seg_title", S.seg(F.col("title"))).withColumn("seg_content", S.empty_seg())
     a = token_features(a, stop_words=S.STOP_WORDS)
     return a.select(F.concat_ws("/", "dataSource", "lang").alias("cluster_id"), "id", "pos", "title", "publishAt",
-                    "title_words", "content").persist()
+                    "title_words", "content").persist(StorageLevel.DISK_ONLY)
 
 
 def clusters(spark, sf_dir):
