@@ -10,6 +10,10 @@ than H(a) + 1, so each set skips the costly ones: the cost of a signature is
 the number of rows that share it.  What is left gives candidate pairs, which
 are verified on their whole shingle sets.
 
+Before pairs are formed, the shingles that one candidate set alone holds are
+counted.  They stand in its difference to every partner, so a set with more
+than H(a) of them has no link, and a pair needs room for those of both.
+
 Only the linked components are asked for, so pairs inside a known component
 are not formed: first each set is verified against the leader it shares most
 signatures with, then the rest of the candidates across components.
@@ -38,6 +42,8 @@ SPARE, DELETED = 16, 32
 #: Bits of the map of wanted documents (a fixed 4 MB); a full map lets more documents through, never fewer.
 MAP_BITS = 25
 _EMPTY_KEY = 0x5EED
+#: 64-bit words of a parity sketch.
+SKETCH = 8
 
 
 def most_differences(a: int, num: int = NUM, den: int = DEN) -> int:
@@ -128,6 +134,12 @@ def signatures(tokens: np.ndarray, edges: list[int], num: int = NUM, den: int =
     return np.concatenate(keys).view(np.int64), np.concatenate(units).astype(np.int32)
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """The parity sketch: bit i tells whether an odd number of shingles falls on place i."""
+    place = (_mix(tokens ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(64 * SKETCH)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sizes(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,16 +176,25 @@ def _map_place(ids: np.ndarray) -> np.ndarray:
 def _sets(words: int, shared):
     """sid, tokens of the documents that the map of wanted ids does not rule out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(shared.value, np.uint8)
+        bits, seen = np.frombuffer(shared.value, np.uint8), set()
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             place = _map_place(ids)
             wanted = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-            texts = batch.column("text").take(pa.array(wanted)).to_pylist()
-            sets = [shingles(t, words) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[wanted]), pa.array([set_name(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["doc_id", "sid", "tokens"])
+            rows = []
+            for i, text in zip(wanted, batch.column("text").take(pa.array(wanted)).to_pylist()):
+                tokens = shingles(text, words)
+                row = int(ids[i]), set_name(tokens)
+                if row not in seen:
+                    seen.add(row)
+                    rows.append((*row, tokens.view(np.int64), parity(tokens)))
+            if rows:
+                i, sid, tokens, sketch = zip(*rows)
+                ends = np.cumsum([0, *map(len, tokens)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(i, pa.int64()), pa.array(sid, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens))),
+                     pa.array([x.tolist() for x in sketch], pa.list_(pa.int64()))],
+                    ["doc_id", "sid", "tokens", "sketch"])
     return run
 
 
@@ -193,20 +214,30 @@ def wanted_map(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return (values[a:b] for a, b in zip(ends, ends[1:]))
+
+
 def _verify(num: int, den: int):
-    """Whether the two sets of a row link."""
+    """The rows whose two sets link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y, linked = batch.column("x").to_numpy(), batch.column("y").to_numpy(), []
-            for a, b in zip(batch.column("tx"), batch.column("ty")):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = len(a) + len(b) - len(np.union1d(a, b)) if min(len(a), len(b)) * den >= num * max(len(a), len(b)) else 0
-                linked.append(both > 0 and den * both >= num * (len(a) + len(b) - both))
-            keep = np.array(linked, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep])], ["x", "y"])
+            keep = []
+            for a, b in zip(_lists(batch.column("tx")), _lists(batch.column("ty"))):
+                fit = min(len(a), len(b)) * den >= num * max(len(a), len(b))
+                both = len(np.intersect1d(a, b, assume_unique=True)) if fit else 0
+                keep.append(fit and both > 0 and den * both >= num * (len(a) + len(b) - both))
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def unshared(sets: DataFrame) -> DataFrame:
+    """sid, u: how many shingles of a set no other one of ``sets`` holds (no row: none)."""
+    held = sets.select("sid", F.explode("tokens").alias("token")).groupBy("token").agg(F.min("sid").alias("sid"), F.max("sid").alias("hi"))
+    return held.where("sid = hi").groupBy("sid").agg(F.count("*").alias("u"))
+
+
 def linked(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """The pairs (x, y) of set names whose sets link."""
     a = sets.select(F.col("sid").alias("x"), F.col("tokens").alias("tx"))
@@ -269,9 +300,15 @@ def _pairs(probes: DataFrame, index: DataFrame, comps: DataFrame) -> DataFrame:
     share = s.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = share.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
     main = staged(main, "main_components")
-    left = p.join(main, "key").select("key", F.col("sid").alias("x"), F.col("comp").alias("cx"), F.col("deleted").alias("dx"), F.col("n").alias("nx"), (F.col("comp") == F.col("main")).alias("mx"))
-    right = s.join(main, "key").select(F.col("key").alias("k"), F.col("sid").alias("y"), F.col("comp").alias("cy"), F.col("deleted").alias("dy"), F.col("n").alias("ny"), (F.col("comp") == F.col("main")).alias("my"))
-    fits = ((F.col("cx") != F.col("cy")) & ~(F.col("dx") & F.col("dy")) & (F.col("nx") <= F.col("ny")) & (F.col("ny") * NUM <= F.col("nx") * DEN))
+    def words(side: str) -> list:
+        return [F.col(f"w{i}").alias(f"{side}{i}") for i in range(SKETCH)]
+
+    left = p.join(main, "key").select("key", *words("wx"), F.col("sid").alias("x"), F.col("comp").alias("cx"), F.col("deleted").alias("dx"), F.col("n").alias("nx"), F.col("u").alias("ux"), (F.col("comp") == F.col("main")).alias("mx"))
+    right = s.join(main, "key").select(F.col("key").alias("k"), *words("wy"), F.col("sid").alias("y"), F.col("comp").alias("cy"), F.col("deleted").alias("dy"), F.col("n").alias("ny"), F.col("u").alias("uy"), (F.col("comp") == F.col("main")).alias("my"))
+    differ = sum((F.bit_count(F.col(f"wx{i}").bitwiseXOR(F.col(f"wy{i}"))) for i in range(SKETCH)), F.lit(0))
+    fits = ((F.col("cx") != F.col("cy")) & ~(F.col("dx") & F.col("dy")) & (F.col("nx") <= F.col("ny")) & (F.col("ny") * NUM <= F.col("nx") * DEN)
+            & ((F.col("ux") + F.col("uy")) * (DEN + NUM) <= (F.col("nx") + F.col("ny")) * (DEN - NUM))
+            & (differ * (DEN + NUM) <= (F.col("nx") + F.col("ny")) * (DEN - NUM)))
     aside = left.where("NOT mx").join(right, (F.col("key") == F.col("k")) & fits)
     inside = left.where("mx").join(right.where("NOT my"), (F.col("key") == F.col("k")) & fits)
     both = aside.select("x", "y").union(inside.select("x", "y"))
@@ -299,23 +336,26 @@ def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     by_key = Window.partitionBy("key")
     shared = made.withColumn("lo", F.min("sid").over(by_key)).withColumn("hi", F.max("sid").over(by_key)).withColumn("cost", F.count("*").over(by_key))
     # Signatures of one set alone end here; a set seen by several tasks stands once from here on.
-    live = staged(shared.where("lo <> hi").select("key", "sid", "unit", "cost", "lo").distinct(), "live_signatures")
-    probes = staged(chosen_probes(live, distinct, edges).join(distinct.select("sid", "n"), "sid"), "chosen_probes")
+    live = staged(shared.where("lo <> hi").select("key", "sid", "unit", "cost").distinct(), "live_signatures")
+    probes = staged(chosen_probes(live, distinct, edges), "chosen_probes")
     # Index rows of the keys that are still probed.
     asked = staged(probes.select("key").distinct(), "probed_keys")
-    index = staged(live.where("unit & 1 = 1").join(asked, "key").select("key", "sid", F.expr("unit & 4 = 4").alias("deleted"), "lo")
-                   .distinct().join(distinct.select("sid", "n"), "sid"), "index_rows")
-    ids = index.select("sid").union(probes.select("sid")).distinct().join(distinct, "sid").select(F.col("first_id").alias("doc_id"), "sid")
-    ids = staged(ids, "wanted_sets")
+    index = staged(live.where("unit & 1 = 1").join(asked, "key").select("key", "sid", F.expr("unit & 4 = 4").alias("deleted")).distinct(), "index_rows")
+    ids = staged(index.select("sid").union(probes.select("sid")).distinct().join(distinct, "sid").select(F.col("first_id").alias("doc_id"), "sid", "n"), "wanted_sets")
     wanted = spark.sparkContext.broadcast(wanted_map(ids))
-    tokens = rows.where("doc_id IS NOT NULL").mapInArrow(_sets(words, wanted), "doc_id long, sid long, tokens binary")
-    sets = staged(tokens.join(ids, ["doc_id", "sid"]).dropDuplicates(["sid"]).select("sid", "tokens"), "wanted_tokens")
-    # Each set against the leader (smallest name in a key) that it meets in most keys.
-    meets = probes.join(index.where("sid = lo").select("key", F.col("sid").alias("y")).distinct(), "key").where("sid <> y")
+    tokens = rows.where("doc_id IS NOT NULL").mapInArrow(_sets(words, wanted), "doc_id long, sid long, tokens array<long>, sketch array<long>")
+    sets = staged(tokens.join(ids, ["doc_id", "sid"]).select("sid", "tokens", "sketch", "n"), "wanted_tokens")
+    room = F.floor((den - num) * (F.col("n") + F.floor(F.col("n") * den / num)) / (den + num))
+    able = staged(sets.select("sid", "n", *[F.col("sketch")[i].alias(f"w{i}") for i in range(SKETCH)]).distinct().join(unshared(sets), "sid", "left")
+                  .withColumn("u", F.coalesce("u", F.lit(0))).where(F.col("u") <= room), "linkable_sets")
+    probes, index = staged(probes.join(able, "sid"), "probes"), staged(index.join(able, "sid"), "index")
+    # Each set against the leader (fewest shingles of its own in a key) that it meets in most keys.
+    leaders = index.groupBy("key").agg(F.min_by("sid", F.struct("u", "sid")).alias("y"))
+    meets = probes.join(leaders, "key").where("sid <> y")
     best = meets.groupBy(F.col("sid").alias("x"), "y").agg(F.count("*").alias("c")).groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
     found = staged(linked(best, sets), "links_0")
     comps = components(found)
-    rest = staged(linked(_pairs(probes, index.drop("lo"), comps), sets), "links_1")
+    rest = staged(linked(_pairs(probes, index, comps), sets), "links_1")
     comps = components(found.union(rest))
     of_set = distinct.select("sid", "first_id").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     smallest = of_set.groupBy("comp").agg(F.min("first_id").alias("component_id"))
