@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidings.llm import exact_dedup, language_ppm, mixing, piece_codec
+from tidings.llm import exact_dedup, language_ppm, mixing, ngram_join, piece_codec
 from tidings.llm.common import documents, staged
 
 
@@ -22,6 +22,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_distinct(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group linked by shared shingles, the document with the smallest doc_id."""
+    return ngram_join.keep_one(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by their source's rate, in global random order."""
     return mixing.stage(spark, docs, sf_dir)
@@ -32,7 +37,8 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_codec.stage(spark, docs, sf_dir)
 
 
-STAGES = [("language ID", language), ("exact dedup", exact), ("mixing", mixed), ("piece encoding", encoded)]
+STAGES = [("language ID", language), ("exact dedup", exact), ("near dedup", near), ("mixing", mixed),
+          ("piece encoding", encoded)]
 
 #: Language models and piece encoding have no SQL form; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
