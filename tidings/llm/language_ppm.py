@@ -81,15 +81,14 @@ class Model:
         self.langs = sorted(counts["lang"].unique())
         place = {x: i for i, x in enumerate(self.langs)}
         self.grams, self.cost, self.escape, self.slots = [], [], [], []
+        self.contexts, self.context_slots = [], []
         for order in range(ORDER + 1):
             part = counts[counts["order"] == order]
             grams = np.unique(part["gram"].to_numpy(np.int64))
             seen = np.zeros((len(grams), len(self.langs)))
-            seen[np.searchsorted(grams, part["gram"].to_numpy(np.int64)), part["lang"].map(place).to_numpy()] = part["n"].to_numpy()
-            # Contexts of this order, as the table of the order below knows them (order 0 has one).
-            context = self._context(grams, order)
-            size = len(self.grams[order - 1]) if order else 1
-            total, distinct = np.zeros((size, len(self.langs))), np.zeros((size, len(self.langs)))
+            seen[np.searchsorted(grams, part["gram"].to_numpy(np.int64)), part["lang"].map(place).to_numpy(np.int64)] = part["n"].to_numpy()
+            contexts, context = np.unique(grams >> 8, return_inverse=True)
+            total, distinct = np.zeros((len(contexts), len(self.langs))), np.zeros((len(contexts), len(self.langs)))
             np.add.at(total, context, seen)
             np.add.at(distinct, context, seen > 0)
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -100,10 +99,8 @@ class Model:
             self.escape.append(escape.astype(np.float32))
             self.grams.append(grams)
             self.slots.append(self._slots(grams, seen.sum(1)))
-
-    def _context(self, grams: np.ndarray, order: int) -> np.ndarray:
-        """Place of the bytes before the last one in the table of the order below."""
-        return np.searchsorted(self.grams[order - 1], grams >> 8) if order else np.zeros(len(grams), np.int64)
+            self.contexts.append(contexts)
+            self.context_slots.append(self._slots(contexts, total.sum(1)))
 
     @staticmethod
     def _slot(grams: np.ndarray, shift: int) -> np.ndarray:
@@ -117,12 +114,11 @@ class Model:
         guess[self._slot(grams[rank], shift)] = rank
         return shift, guess
 
-    def find(self, order: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the table of ``order`` and whether the byte string is there."""
-        table = self.grams[order]
+    def find(self, table: np.ndarray, slots: tuple[int, np.ndarray], grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a sorted table and whether the byte string is there."""
         if not len(table):
             return np.zeros(len(grams), np.int64), np.zeros(len(grams), bool)
-        shift, guess = self.slots[order]
+        shift, guess = slots
         at = guess[self._slot(grams, shift)]
         hit = table[at] == grams
         miss = np.flatnonzero(~hit)
@@ -135,7 +131,7 @@ class Model:
     def lengths(self, raw: np.ndarray) -> np.ndarray:
         """Code length in bits of every byte from ORDER on, by language."""
         grams = codes(raw, ORDER)
-        at, hit = self.find(ORDER, grams)
+        at, hit = self.find(self.grams[ORDER], self.slots[ORDER], grams)
         out = self.cost[ORDER][at] if len(self.grams[ORDER]) else np.zeros((len(grams), len(self.langs)), np.float32)
         left = np.flatnonzero(~hit)
         out[left] = 0
@@ -144,15 +140,12 @@ class Model:
                 return out
             if order < ORDER:
                 short = grams[left] & ((1 << 8 * (order + 1)) - 1)
-                at, hit = self.find(order, short)
+                at, hit = self.find(self.grams[order], self.slots[order], short)
                 out[left[hit]] += self.cost[order][at[hit]]
                 left = left[~hit]
             # What is left pays the escape of its context, if any language knows it.
-            if order:
-                at, hit = self.find(order - 1, (grams[left] & ((1 << 8 * (order + 1)) - 1)) >> 8)
-                out[left[hit]] += self.escape[order][at[hit]]
-            else:
-                out[left] += self.escape[0][0]
+            at, hit = self.find(self.contexts[order], self.context_slots[order], (grams[left] & ((1 << 8 * (order + 1)) - 1)) >> 8)
+            out[left[hit]] += self.escape[order][at[hit]]
         out[left] += 8
         return out
 

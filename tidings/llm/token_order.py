@@ -102,7 +102,7 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, tokens: int = TOKEN
     """part, row, n_tokens, ids of all sequences, written once so that part and row stay as they are."""
     short_batches(docs.sparkSession)
     texts = docs.select("text").where(F.length("text") > 0)
-    return staged(texts.mapInArrow(_pack(vocabulary, tokens), "part int, row long, n_tokens int, ids binary"), "sequences")
+    return staged(texts.mapInArrow(_pack(vocabulary, tokens), "part int, row long, n_tokens int, ids binary"), "sequences", zstd_level=9)
 
 
 def with_slots(rows: DataFrame, key: int = KEY, per_shard: int = PER_SHARD) -> tuple[DataFrame, int]:
