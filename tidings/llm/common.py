@@ -27,7 +27,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str, zstd_level: int = 3) -> DataFrame:
+def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The written table cuts the lineage, survives lost executors, and lets
@@ -35,7 +35,7 @@ def staged(df: DataFrame, name: str, zstd_level: int = 3) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", zstd_level).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,7 +15,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -102,23 +101,28 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, tokens: int = TOKEN
     """part, row, n_tokens, ids of all sequences, written once so that part and row stay as they are."""
     short_batches(docs.sparkSession)
     texts = docs.select("text").where(F.length("text") > 0)
-    return staged(texts.mapInArrow(_pack(vocabulary, tokens), "part int, row long, n_tokens int, ids binary"), "sequences", zstd_level=9)
+    return staged(texts.mapInArrow(_pack(vocabulary, tokens), "part int, row long, n_tokens int, ids binary"), "sequences")
 
 
 def with_slots(rows: DataFrame, key: int = KEY, per_shard: int = PER_SHARD) -> tuple[DataFrame, int]:
-    """Adds slot and shard; also returns the number of sequences."""
+    """shard, slot, n_tokens, packed (the ids, compressed for the exchange), and the number of sequences."""
     counts = rows.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One number per task of the writing job.
     starts = staged(counts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "sequence_starts")
     size = starts.agg(F.sum("n")).first()[0] or 0
 
-    @F.pandas_udf("long")
-    def slot(index: pd.Series) -> pd.Series:
-        return pd.Series(feistel(index.to_numpy(), size, key))
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            slot = feistel(batch.column("index").to_numpy(), size, key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((slot // per_shard).astype(np.int32)), pa.array(slot), batch.column("n_tokens"),
+                 pa.array([packer.compress(x) for x in batch.column("ids").to_pylist()], pa.binary())], ["shard", "slot", "n_tokens", "packed"])
 
-    placed = rows.join(starts.select("part", "start"), "part").withColumn("slot", slot(F.col("start") + F.col("row")))
-    return placed.withColumn("shard", F.expr(f"CAST(slot div {per_shard} AS INT)")).select("shard", "slot", "n_tokens", "ids"), size
+    indexed = rows.join(starts.select("part", "start"), "part").select((F.col("start") + F.col("row")).alias("index"), "n_tokens", "ids")
+    return indexed.mapInArrow(place, "shard int, slot long, n_tokens int, packed binary"), size
 
 
 def shard_name(shard: int) -> str:
@@ -129,6 +133,8 @@ def _write(path: str, stride: int, per_shard: int):
     """Write each shard of the task, in slot order, under a name of its own, then give it its final name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
+        import zstandard
+        unpack = zstandard.ZstdDecompressor().decompress
         store, base = fs.FileSystem.from_uri(path)
         store.create_dir(base, recursive=True)
         shard, out, name = None, None, None
@@ -140,7 +146,8 @@ def _write(path: str, stride: int, per_shard: int):
 
         for batch in batches:
             offsets, sums = [], []
-            for s, slot, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "slot", "ids"))):
+            for s, slot, packed in zip(*(batch.column(c).to_pylist() for c in ("shard", "slot", "packed"))):
+                ids = unpack(packed)
                 if s != shard:
                     close()
                     shard, name = s, f"{base}/_{uuid.uuid4().hex}"
