@@ -103,12 +103,15 @@ def _search(k: int):
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(block) and len(asked):
             queries = _matrix(asked["v"])
+            ids = block["ids"].to_list()
             for i, found, score in Block(_matrix(block["v"])).search(queries):
                 own = asked["vec_id"].iloc[i]
+                # The query's own vector may be one of them, so k + 1 of the scores (and their ties) are enough.
+                best = np.flatnonzero(score >= np.partition(score, -(k + 1))[-(k + 1)]) if len(score) > k + 1 else range(len(score))
                 # Copies of a vector stand together in ``ids``, smallest first: k + 1 of them always suffice.
-                rows = [(-s, x, s) for f, s in zip(found, score) for x in block["ids"].iloc[f] if x != own]
-                for _, x, s in sorted(rows)[:k]:
-                    out["query_id"].append(own), out["vec_id"].append(x), out["score"].append(s)
+                rows = [(-score[f], x) for f in best for x in ids[found[f]] if x != own]
+                for s, x in sorted(rows)[:k]:
+                    out["query_id"].append(own), out["vec_id"].append(x), out["score"].append(-s)
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
     return run
 
