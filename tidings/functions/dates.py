@@ -172,6 +172,10 @@ def article_times(first_rpt: Column, first_tmp: Column, publish_ms: Column) -> C
     return F.struct(F.coalesce(first_rpt, publish_ms).alias("rpt_ms"), first_tmp.alias("tmp_ms"))
 
 
-def sentence_tmp(own_tmp: Column, article_tmp: Column) -> Column:
-    """A sentence's TMP is its own, else the article's."""
-    return F.coalesce(own_tmp, article_tmp)
+def sentence_tmp(times: Column, article_tmp: Column) -> Column:
+    """A sentence's TMP is that of its own event-time chunk, else the article's.
+
+    ``times`` is the struct of ``with_sentence_times``; the publish time that D5
+    gives a sentence without any chunk does not count as its own.
+    """
+    return F.coalesce(F.when(times["tmp_str"].isNotNull(), times["tmp_ms"]), article_tmp)

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..session import DEFAULT_TZ, local_wall_time
 
-# Explicit whitespace class: identical in Java regex and RE2.
-WS = "[ \\t\\n\\r\\f]"
+# The blanks that str.strip() cuts, U+3000 among them; identical in Java regex and RE2.
+WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def py_strip(c: Column) -> Column:
-    """Trim leading/trailing whitespace (like ``str.strip`` on ASCII space chars)."""
+    """Trim leading/trailing whitespace, Unicode blanks included (like ``str.strip``)."""
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
 
@@ -66,8 +66,8 @@ def dateline_cut(c: Column, features=C.DATELINE_FEATURES) -> Column:
 
 
 def chunk_regex(open_: str, close: str) -> str:
-    """Non-greedy ``[open](.*?)[close]`` for one bracket pair."""
-    return f"[{re.escape(open_)}](.*?)[{re.escape(close)}]"
+    """Non-greedy chunk between one bracket pair, within a line (only ``\\n`` ends it)."""
+    return f"[{re.escape(open_)}]([^\\n]*?)[{re.escape(close)}]"
 
 
 def chunk_strings(c: Column, pairs=C.CHUNK_PAIRS) -> Column:
@@ -126,7 +126,7 @@ def title_segments(c: Column) -> Column:
 
 
 def remove_whitespace(c: Column) -> Column:
-    return F.regexp_replace(c, "[\\s\\u3000\\u00a0]", "")
+    return F.regexp_replace(c, "(?U)\\s", "")
 
 
 def sentence_array(c: Column, mark: str = C.SENTENCE_MARK, soft: str = C.SENTENCE_SOFT_MARKS,

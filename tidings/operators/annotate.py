@@ -77,29 +77,29 @@ def coarse_tokens(sents: DataFrame, keys) -> DataFrame:
     return plain.unionByName(fused)
 
 
-def core_words(sents: DataFrame, keys, max_rounds: int = 100) -> DataFrame:
+def core_words(sents: DataFrame, keys) -> DataFrame:
     """(keys…, idx, word, offe, depth): the root (HED) plus every token
     reachable from it through COO arcs; offe = length of the words before.
 
-    Expanded in join rounds over the COO edge table, one tree level per round
-    (checkpointed), until no new token is found.
+    Pointer doubling inside the sentence row: a COO token points to its head,
+    any other token to itself, and ⌈log2 n⌉ + 1 passes of ``to = to[to]`` reach
+    the end of every chain, however deep.  Tokens on a COO cycle never reach a
+    root and are not returned.  No join, no shuffle.
     """
     k = list(keys)
-    a = exploded_arcs(sents, k)
-    offs = a.withColumn("offe", F.coalesce(F.sum(F.length("word")).over(
-        Window.partitionBy(*k).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"))
-    coo = a.where(F.col("rel") == "COO").select(*k, (F.col("head") - 1).alias("parent"), F.col("idx").alias("child"))
-    frontier = a.where(F.col("rel") == "HED").select(*k, "idx").withColumn("depth", F.lit(0))
-    found = frontier
-    for d in range(1, max_rounds + 1):
-        nxt = (frontier.withColumnRenamed("idx", "parent").join(coo, k + ["parent"])
-                       .select(*k, F.col("child").alias("idx")).withColumn("depth", F.lit(d)))
-        nxt = cut_lineage(nxt.join(found.select(*k, "idx"), k + ["idx"], "left_anti").distinct())
-        if nxt.isEmpty():
-            break
-        found = found.unionByName(nxt)
-        frontier = nxt
-    return found.join(offs.select(*k, "idx", "word", "offe"), k + ["idx"])
+    coo = lambda a: (a["rel"] == "COO") & a["head"].between(1, F.size("arcs"))
+    start = F.transform("arcs", lambda a, i: F.struct(
+        F.when(coo(a), a["head"] - 1).otherwise(i).cast("int").alias("to"), coo(a).cast("int").alias("depth")))
+
+    def double(hops, _):
+        return F.transform(hops, lambda h: F.struct(
+            F.get(hops, h["to"])["to"].alias("to"), (h["depth"] + F.get(hops, h["to"])["depth"]).alias("depth")))
+
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size("arcs"), F.lit(1)))).cast("int"))
+    hops = sents.select(*k, "words", "arcs", F.aggregate(passes, start, double).alias("hops"))
+    rooted = hops.select(*k, "words", "arcs", F.posexplode("hops").alias("idx", "h")).where(F.get("arcs", F.col("h.to"))["rel"] == "HED")
+    before = F.length(F.array_join(F.slice("words", F.lit(1), F.col("idx")), ""))
+    return rooted.select(*k, "idx", F.col("h.depth").alias("depth"), F.get("words", F.col("idx")).alias("word"), before.cast("int").alias("offe"))
 
 
 # --- per-sentence triples (X2, X4, X5) -------------------------------------

@@ -14,21 +14,6 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 
-BROADCAST_ROWS = 2_000_000  # largest side we broadcast (rows, size-checked before use)
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", est_rows: int | None = None) -> DataFrame:
-    """Join with a broadcast hint only when ``small`` is proven small.
-
-    ``est_rows`` is an upper bound the caller already knows; otherwise the
-    side is counted.  Above the bound the join is a regular shuffle join and
-    AQE's skew-join split handles hot keys.
-    """
-    n = est_rows if est_rows is not None else small.count()
-    if n <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
-
 
 def title_keywords(members: DataFrame, words_col: str = "title_words", k: int = C.KEYWORDS_TOPK,
                    cluster_col: str = "cluster_id") -> DataFrame:
@@ -68,15 +53,14 @@ def content_keywords(member_keywords: DataFrame, sizes: DataFrame, k: int = C.KE
 
 
 def title_pick(members: DataFrame, keywords: DataFrame, words_col: str = "title_words",
-               prefer_fewer_words: bool = True, cluster_col: str = "cluster_id",
-               est_clusters: int | None = None) -> DataFrame:
+               prefer_fewer_words: bool = True, cluster_col: str = "cluster_id") -> DataFrame:
     """(cluster_id, title): member title with the largest overlap of distinct
     title words with the keywords; ties → fewest distinct words (v2 only) →
     first member.  Overlap 0 everywhere → ''.
 
     ``max_by`` is a partial aggregate, so a hot cluster is reduced map-side.
     """
-    j = join_small(members, keywords, cluster_col, "left", est_clusters)
+    j = members.join(keywords, cluster_col, "left")
     ov = F.size(F.array_intersect(F.coalesce(F.col("keywords"), F.array()), F.col(words_col)))
     nw = F.size(F.array_distinct(F.col(words_col)))
     key = F.struct((-ov).alias("ov"), (nw if prefer_fewer_words else F.lit(0)).alias("nw"), F.col("pos").alias("p"))

@@ -122,13 +122,15 @@ def keyword_boost(bag: DataFrame, keywords: DataFrame, id_col: str) -> DataFrame
                .drop("boost"))
 
 
-def tfidf(bag: DataFrame, id_col: str, eps: float = 1e-12) -> DataFrame:
+def tfidf(bag: DataFrame, id_col: str, eps: float = 1e-12, articles: DataFrame | None = None) -> DataFrame:
     """(id, term, w): tf·log2(N/df), near-zero weights dropped, L2-normalised per document.
 
-    Document frequency is one grouped aggregate; N is a scalar subquery, so
-    no driver round trip and no single-partition window.
+    N counts all rows of ``articles``, those with an empty bag too (without
+    it, the documents of the bag).  Document frequency is one grouped
+    aggregate; N is a scalar subquery, so no driver round trip and no
+    single-partition window.
     """
-    n_docs = bag.select(F.countDistinct(id_col).alias("n"))
+    n_docs = bag.select(F.countDistinct(id_col).alias("n")) if articles is None else articles.select(F.count("*").alias("n"))
     df_ = bag.groupBy("term").agg(F.count("*").alias("df"))
     raw = (bag.join(df_, "term")
               .withColumn("w", F.col("tf") * F.log2(n_docs.scalar() / F.col("df")))

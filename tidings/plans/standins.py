@@ -32,15 +32,8 @@ STOP_WORDS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one test table.  Text tables stored as a few large row groups are
-    spread over at least one partition per core (a no-op when the scan
-    already has that many splits, as on a cluster)."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in ("documents", "pages"):
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-    return df
+    """Read one test table (split size is a session setting)."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

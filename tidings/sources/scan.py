@@ -100,9 +100,6 @@ def daily_counts(df: DataFrame, day_col: Column, min_batch: int = 100) -> DataFr
               .withColumn("small", (F.col("n") < min_batch).cast("int")))
 
 
-MAX_SLOTS = 1_000_000
-
-
 def slot_batches(df: DataFrame, start_ms: int, gap_ms: int, min_batch: int = 100,
                  ms_col: str = "publishAt") -> DataFrame:
     """Adaptive history windows.
@@ -111,30 +108,24 @@ def slot_batches(df: DataFrame, start_ms: int, gap_ms: int, min_batch: int = 100
     one slot at a time from its start until it holds ≥ ``min_batch`` rows;
     then the next batch starts.  Returns (slot, n, batch, complete).
 
-    The per-slot counts are a partial aggregate over all rows; the ordered
-    fold then runs over the slot table only, whose size is bounded by the
-    time span / gap (checked against ``MAX_SLOTS``), never by the row count.
+    The per-slot counts are a partial aggregate over all rows.  The ordered
+    fold streams over the slot counts alone (one row per time slot, however
+    many rows fall in it) and keeps two numbers.
     """
     slot = F.floor((F.col(ms_col) - F.lit(start_ms)) / F.lit(gap_ms)).cast("long")
     counts = df.where(F.col(ms_col) >= start_ms).groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
-    n_slots = counts.count()
-    if n_slots > MAX_SLOTS:
-        raise ValueError(f"{n_slots} slots exceed {MAX_SLOTS}: widen gap_ms or split the history")
-    folded = counts.agg(F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("s")).select(
-        F.aggregate(
-            "s",
-            F.struct(F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("acc"),
-                     F.array().cast("array<struct<slot:bigint,n:bigint,batch:bigint,acc:bigint>>").alias("out")),
-            lambda st, x: F.struct(
-                F.when(st["acc"] >= min_batch, st["b"] + 1).otherwise(st["b"]).alias("b"),
-                F.when(st["acc"] >= min_batch, x["n"]).otherwise(st["acc"] + x["n"]).alias("acc"),
-                F.array_append(st["out"], F.struct(
-                    x["slot"].alias("slot"), x["n"].alias("n"),
-                    F.when(st["acc"] >= min_batch, st["b"] + 1).otherwise(st["b"]).alias("batch"),
-                    F.when(st["acc"] >= min_batch, x["n"]).otherwise(st["acc"] + x["n"]).alias("acc"))).alias("out")),
-            lambda st: st["out"],
-        ).alias("o"))
-    rows = folded.select(F.explode("o").alias("r")).select("r.slot", "r.n", "r.batch", "r.acc")
+
+    def fold(frames):
+        batch = held = 0
+        for frame in frames:
+            batches, sums = [], []
+            for n in frame["n"]:
+                batch, held = (batch + 1, n) if held >= min_batch else (batch, held + n)
+                batches.append(batch)
+                sums.append(held)
+            yield frame.assign(batch=batches, acc=sums)
+
+    rows = counts.repartition(1).sortWithinPartitions("slot").mapInPandas(fold, "slot long, n long, batch long, acc long")
     done = rows.groupBy("batch").agg((F.max("acc") >= min_batch).cast("int").alias("complete"))
     return rows.join(done, "batch").select("slot", "n", "batch", "complete")
 
@@ -150,11 +141,10 @@ def read_mark(spark: SparkSession, root: str, default_ms: int) -> int:
     """The last committed progress mark (epoch ms) under ``root``, or
     ``default_ms`` (e.g. now − 1 day) when none was written yet.  Marks are
     one-row parquet files in versioned folders; the highest version wins."""
-    try:
-        df = spark.read.parquet(f"{root}/v=*")
-    except Exception:  # noqa: BLE001 - no mark yet
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*")
+    if not pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern):
         return default_ms
-    row = df.agg(F.max_by("mark", "version").alias("m")).first()
+    row = spark.read.parquet(f"{root}/v=*").agg(F.max_by("mark", "version").alias("m")).first()
     return int(row["m"]) if row and row["m"] is not None else default_ms
 
 
