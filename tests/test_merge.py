@@ -18,12 +18,15 @@ def pred(ti, tj, ci, cj):
 
 def sequential(cl, status):
     accepted, target = [], {}
+    now = {c["cid"]: status.get(c["id"]) for c in cl}  # of the id a cluster carries at present
     for c in cl:
         if c["size"] > 3:
             for j in accepted:
                 if j["size"] > 3 and pred(c["kw"], j["kw"], c["ck"], j["ck"]):
-                    if status.get(c["id"]) == "1" and status.get(j["id"]) == "1":
+                    if now[c["cid"]] == "1" and now[j["cid"]] == "1":
                         break
+                    if now[c["cid"]] == "1" and now[j["cid"]] == "0":
+                        now[j["cid"]] = "1"
                     target[c["cid"]] = j["cid"]
                     break
         if c["cid"] not in target:
@@ -48,3 +51,14 @@ def test_merge_rounds_match_sequential(spark):
     st = spark.createDataFrame(list(status.items()), "id long, status string")
     got = {r.cluster_id: r.target for r in CL.merge_clusters(df, st).collect()}
     assert got == sequential(cl, status)
+
+
+def test_second_protected_cluster_stays_apart(spark):
+    kw = [f"k{i}" for i in range(5)]
+    rows = [(c, i, 9 - i, (i - 9, i), kw, kw) for i, c in enumerate("ABCD", 1)]
+    df = spark.createDataFrame(rows, "cluster_id string, id long, size long, order struct<s:long,p:long>, "
+                                     "keywords array<string>, content_keywords array<string>")
+    st = spark.createDataFrame([(1, "0"), (2, "1"), (3, "1")], "id long, status string")
+    merge = CL.merge_clusters(df, st)
+    assert {r.cluster_id: r.target for r in merge.collect()} == {"A": "A", "B": "A", "C": "C", "D": "A"}
+    assert sorted(r.id for r in CL.tombstones(merge).collect()) == [1, 4]

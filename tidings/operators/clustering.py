@@ -182,7 +182,8 @@ def merge_clusters(clusters: DataFrame, status: DataFrame | None = None, order_c
     Zero-floor clusters match every earlier big cluster, so their only
     useful edge is to the first big cluster.  ``status(id, status)`` marks
     editor-created clusters: a (1, 1) pair does not merge and stops the
-    search; (1, 0) merges but the survivor takes the later cluster's id.
+    search; (1, 0) merges but the survivor takes the later cluster's id, so it
+    is editor-created from then on and the next such cluster stays apart.
     Returns (cluster_id, target, final_id, merged).
     """
     from .leaders import leader_rounds
@@ -201,7 +202,8 @@ def merge_clusters(clusters: DataFrame, status: DataFrame | None = None, order_c
                   .join(ids.select(F.col("cluster_id").alias("b"), F.col("id").alias("b_id")), "b")
                   .join(st.select(F.col("_sid").alias("a_id"), F.col("status").alias("sa")), "a_id", "left")
                   .join(st.select(F.col("_sid").alias("b_id"), F.col("status").alias("sb")), "b_id", "left"))
-        edges = e.select("a", "b", ((F.col("sb") == "1") & (F.col("sa") == "1")).alias("stop"))
+        edges = e.select("a", "b", F.coalesce((F.col("sb") == "1") & (F.col("sa") == "1"), F.lit(False)).alias("stop"),
+                         F.coalesce((F.col("sb") == "1") & (F.col("sa") == "0"), F.lit(False)).alias("claim"))
     nodes = clusters.select(F.col("cluster_id").alias("node"), F.col(order_col).alias("pos"))
     lead = leader_rounds(nodes, edges)
     res = lead.select(F.col("node").alias("cluster_id"), F.col("leader").alias("target"))
