@@ -2,22 +2,16 @@
 
 Input: one row per sentence with parallel arrays ``words``, ``postags``,
 ``netags`` and ``arcs`` (array<struct<head:int, rel:string>>, 1-based head,
-0 = root).  Tree-shaped work is either a grouped aggregate over the exploded
-arcs (child map, islands) or bounded join rounds (core words); the recursive
-phrase / triple rules run per sentence row in ``mapInPandas`` (no shuffle),
-the only per-row Python.
+0 = root).  Work is either a grouped aggregate over the exploded arcs (child
+map, islands) or array functions inside the sentence row: chains of arcs are
+followed by pointer doubling (core words, phrases), so no step needs a join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 
 def exploded_arcs(sents: DataFrame, keys) -> DataFrame:
     """(keys…, idx, word, postag, head, rel): one row per token (idx 0-based)."""
@@ -104,151 +98,207 @@ def core_words(sents: DataFrame, keys) -> DataFrame:
 
 # --- per-sentence triples (X2, X4, X5) -------------------------------------
 
-def _children(heads, rels):
-    kids = [dict() for _ in heads]
-    for i, (h, r) in enumerate(zip(heads, rels)):
-        if h and 0 < h <= len(heads):
-            kids[h - 1].setdefault(r, []).append(i)
-    return kids
-
-
-def _phrase_m(words, tags, kids, root, memo=None):
-    """Argument phrase of token ``root``: ATT phrases + word + COO phrases
-    ('、' unless adjacent), plus the SBV prefix and VOB suffix for verbs.
-    Bottom-up with an explicit stack (parse trees can be deep), memoised
-    per sentence."""
-    memo = {} if memo is None else memo
-    stack = [(root, False)]
-    entered = set()
-    while stack:
-        i, ready = stack.pop()
-        if i in memo:
-            continue
-        c = kids[i]
-        deps = list(c.get("ATT", [])) + list(c.get("COO", []))
-        if tags[i] == "v":
-            deps += c.get("VOB", [])[:1] + c.get("SBV", [])[:1]
-        if not ready:
-            if i in entered:  # malformed (cyclic) input: stop here
-                memo[i] = words[i]
-                continue
-            entered.add(i)
-            stack.append((i, True))
-            stack.extend((d, False) for d in deps if d not in memo)
-            continue
-        pre = "".join(memo.get(j, words[j]) for j in c.get("ATT", []))
-        post = "".join(("" if j - i == 1 else "、") + memo.get(j, words[j]) for j in c.get("COO", []))
-        if tags[i] == "v":
-            if "VOB" in c:
-                post += memo.get(c["VOB"][0], words[c["VOB"][0]])
-            if "SBV" in c:
-                pre = memo.get(c["SBV"][0], words[c["SBV"][0]]) + pre
-        memo[i] = pre + words[i] + post
-    return memo[root]
-
-
-def sentence_triples(words, tags, heads, rels, right_len: bool = False):
-    """X4 + X5 for one sentence → (triples [(sub, verb, obj, type)], core words [(word, offe)])."""
-    kids = _children(heads, rels)
-    memo: dict = {}
-
-    def _phrase(w, tg, kd, i):  # noqa: F811 - per-sentence memo
-        return _phrase_m(w, tg, kd, i, memo)
-
-    out = []
-    for i, t in enumerate(tags):
-        if t != "v":
-            continue
-        c = kids[i]
-        if "SBV" in c and "VOB" in c:
-            out.append([_phrase(words, tags, kids, c["SBV"][0]), words[i], _phrase(words, tags, kids, c["VOB"][0]), "主谓宾"])
-        elif rels[i] == "ATT":
-            if "VOB" in c:
-                e1 = _phrase(words, tags, kids, heads[i] - 1)
-                e2 = _phrase(words, tags, kids, c["VOB"][0])
-                ts = words[i] + e2
-                if ts == e1[:len(ts)]:
-                    e1 = e1[len(ts):]
-                if ts not in e1:
-                    out.append([e1, words[i], e2, "补主"])
-        elif "SBV" in c and "CMP" in c:
-            cmp_i = c["CMP"][0]
-            if "POB" in kids[cmp_i]:
-                out.append([_phrase(words, tags, kids, c["SBV"][0]), words[i] + words[cmp_i],
-                            _phrase(words, tags, kids, kids[cmp_i]["POB"][0]), "补宾"])
-        elif "SBV" in c:
-            out.append([_phrase(words, tags, kids, c["SBV"][0]), words[i], "", "主谓"])
-        elif "VOB" in c:
-            out.append(["", words[i], _phrase(words, tags, kids, c["VOB"][0]), "谓宾"])
-        elif "FOB" in c:
-            out.append(["", words[i], _phrase(words, tags, kids, c["FOB"][0]), "宾前"])
-    # core words: HED, then its COO children, recursively (discovery order)
-    core = []
-
-    def grow(h):
-        cs = kids[h].get("COO", [])
-        core.extend(cs)
-        for x in cs:
-            grow(x)
-
-    for i, r in enumerate(rels):
-        if r == "HED":
-            core.append(i)
-            grow(i)
-    info = [(words[i], len("".join(words[:i]))) for i in core]
-    # Post-merge over consecutive core words
-    merged_core = []
-    for i in range(len(info) - 1):
-        w_len = len(info[i][0]) if right_len else len(info[i + 1][0])
-        if info[i][1] + w_len == info[i + 1][1]:
-            done = False
-            for j in range(len(out)):
-                if out[j][1] == info[i][0] and j + 1 < len(out) and out[j + 1][1] == info[i + 1][0]:
-                    out[j] = [out[j][0], out[j][1] + out[j + 1][1], out[j + 1][2], "主谓宾"]
-                    merged_core.append((out[j][1], info[i][1]))
-                    done = True
-                    break
-            if not done:
-                merged_core.append(info[i])
-        else:
-            sub = obj = ""
-            for tr in out:
-                if tr[0] != "":
-                    sub = tr[0]
-                if tr[2] != "":
-                    obj = tr[2]
-            for tr in out:
-                if tr[0] == "":
-                    tr[0] = sub
-                if tr[2] == "":
-                    tr[2] = obj
-            merged_core.append(info[i])
-    if info:
-        merged_core.append(info[-1])
-    return out, merged_core
+#: Place of a dependent's phrase around its head word: SBV, ATT, the word itself, COO, VOB.
+_PLACE = {"SBV": "0", "ATT": "1", "COO": "3", "VOB": "4"}
+_OWN = "2"
+#: Digits of a token index inside a path, and the width of one step (place + index).
+_DIGITS = 8
+_STEP = _DIGITS + 1
+
+
+def _let(value, body):
+    """``body`` of ``value``, which is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _digits(i):
+    return F.lpad(i.cast("string"), _DIGITS, "0")
+
+
+def _paths(steps):
+    """Paths from the top of a forest down to every token of a sentence.
+
+    ``steps`` holds ``up`` (0-based parent, null at a top) and ``step`` per
+    token; the result holds ``key`` (index of the top, then the steps) and
+    ``top``.  Pointer doubling, as in ``core_words``.  A token on or below a
+    cycle has no top and stands alone.
+    """
+    start = F.transform(steps, lambda s, i: F.struct(F.coalesce(s["up"], i).cast("int").alias("to"),
+                                                     F.coalesce(s["step"], F.lit("")).alias("path")))
+
+    def double(hops, _):
+        return F.transform(hops, lambda h: F.struct(
+            F.get(hops, h["to"])["to"].alias("to"), F.concat(F.get(hops, h["to"])["path"], h["path"]).alias("path")))
+
+    passes = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(F.size(steps), F.lit(2)))).cast("int"))
+    return _let(F.aggregate(passes, start, double), lambda hops: F.transform(hops, lambda h, i: F.when(
+        F.get(steps, h["to"])["up"].isNull(), F.struct(F.concat(_digits(h["to"]), h["path"]).alias("key"), h["to"].alias("top")))
+        .otherwise(F.struct(_digits(i).alias("key"), F.lit(None).cast("int").alias("top")))))
+
+
+def _phrase_steps(arcs, postags):
+    """X2 as a forest: the parent and place of every token that is part of its head's phrase."""
+    def step(a, i):
+        rel, up = a["rel"], a["head"] - 1
+        first = ~F.exists(F.slice(arcs, F.lit(1), i), lambda b: (b["head"] == a["head"]) & (b["rel"] == rel))
+        part = rel.isin("ATT", "COO") | (rel.isin("SBV", "VOB") & (F.get(postags, up) == "v") & first)
+        place = F.coalesce(*[F.when(rel == r, F.lit(p)) for r, p in _PLACE.items()])
+        held = a["head"].between(1, F.size(arcs)) & part
+        return F.struct(F.when(held, up).alias("up"), F.when(held, F.concat(place, _digits(i))).alias("step"))
+
+    return F.transform(arcs, step)
+
+
+def _phrase_stream(words, arcs, keys):
+    """Words and separators of all phrases in reading order, each with the path of the phrase it is part of.
+
+    A phrase is the run of entries whose path starts with the path of its head
+    token.  The separator of a coordinated token comes before the token's whole
+    phrase and is a part of its head's phrase only.
+    """
+    own = F.transform(words, lambda w, i: F.struct(
+        F.concat(F.get(keys, i)["key"], F.lit(_OWN)).alias("at"), F.get(keys, i)["key"].alias("key"), w.alias("text")))
+    apart = F.filter(F.transform(arcs, lambda a, i: F.when(
+        (a["rel"] == "COO") & (a["head"] != i) & (F.length(F.get(keys, i)["key"]) > _DIGITS),
+        F.struct(F.get(keys, i)["key"].alias("at"), F.substring(F.get(keys, i)["key"], F.lit(1), F.length(F.get(keys, i)["key"]) - _STEP).alias("key"),
+                 F.lit("、").alias("text")))), lambda x: x.isNotNull())
+    return F.array_sort(F.concat(own, apart))
+
+
+def _verb_triples(words, postags, arcs, keys, stream):
+    """(sub, verb, obj, type) of every token with POS ``v``, by the first rule that fits its children."""
+    def phrase(i):
+        return F.array_join(F.transform(F.filter(stream, lambda x: x["key"].startswith(F.get(keys, i)["key"])), lambda x: x["text"]), "")
+
+    def triple(sub, verb, obj, kind):
+        return F.struct(sub.alias("sub"), verb.alias("verb"), obj.alias("obj"), F.lit(kind).alias("type"))
+
+    def first_of(children, rel):
+        return F.get(F.filter(children, lambda c: c["rel"] == rel), F.lit(0))["idx"]
+
+    def of(i, a, children, placed, none=F.lit("")):
+        word = F.get(words, i)
+        child = {r: first_of(children, r) for r in ("SBV", "VOB", "CMP", "FOB")}
+        has = {r: c.isNotNull() for r, c in child.items()}
+        place = F.get(F.filter(placed, lambda c: (c["head"] == child["CMP"] + 1) & (c["rel"] == "POB")), F.lit(0))["idx"]
+        # An attributive verb: its head is the subject, unless the head's phrase still tells the verb and object.
+        attribute = _let(F.struct(F.coalesce(phrase(a["head"] - 1), none).alias("noun"), phrase(child["VOB"]).alias("obj")), lambda p: _let(
+            F.when(p["noun"].startswith(F.concat(word, p["obj"])), F.substring(p["noun"], F.length(word) + F.length(p["obj"]) + 1, F.length(p["noun"])))
+            .otherwise(p["noun"]), lambda noun: F.when(~noun.contains(F.concat(word, p["obj"])), triple(noun, word, p["obj"], "补主"))))
+        return (F.when(has["SBV"] & has["VOB"], triple(phrase(child["SBV"]), word, phrase(child["VOB"]), "主谓宾"))
+                 .when((a["rel"] == "ATT") & has["VOB"], attribute)
+                 .when(a["rel"] == "ATT", None)
+                 .when(has["SBV"] & has["CMP"], F.when(place.isNotNull(), triple(
+                     phrase(child["SBV"]), F.concat(word, F.get(words, child["CMP"])), phrase(place), "补宾")))
+                 .when(has["SBV"], triple(phrase(child["SBV"]), word, none, "主谓"))
+                 .when(has["VOB"], triple(none, word, phrase(child["VOB"]), "谓宾"))
+                 .when(has["FOB"], triple(none, word, phrase(child["FOB"]), "宾前")))
+
+    placed = F.filter(F.transform(arcs, lambda a, i: F.struct(a["head"].alias("head"), a["rel"].alias("rel"), i.alias("idx"))),
+                      lambda c: c["rel"].isin("SBV", "VOB", "CMP", "POB", "FOB"))
+    return _let(placed, lambda placed: F.filter(F.transform(arcs, lambda a, i: F.when(F.get(postags, i) == "v", _let(
+        F.filter(placed, lambda c: c["head"] == i + 1), lambda children: of(i, a, children, placed)))), lambda t: t.isNotNull()))
+
+
+def _core_steps(arcs):
+    """X3 as a forest: the head and place of every coordinated token."""
+    def step(a, i):
+        held = (a["rel"] == "COO") & a["head"].between(1, F.size(arcs))
+        return F.struct(F.when(held, a["head"] - 1).alias("up"), F.when(held, F.concat(F.lit("1"), _digits(i))).alias("step"))
+
+    return F.transform(arcs, step)
+
+
+def _core_list(words, arcs, paths):
+    """X3 in order of discovery: (word, offe) of the roots and, under each, the coordinated tokens.
+
+    The coordinated tokens of one word come together before those of their own
+    coordinated tokens, so only the last step of a path sorts first.
+    """
+    def entry(p, i):
+        above = F.length(p["key"]) - _STEP
+        at = F.when(above < 0, p["key"]).otherwise(F.concat(F.substring(p["key"], F.lit(1), above), F.lit("0"), _digits(i)))
+        return F.when(F.get(arcs, p["top"])["rel"] == "HED", F.struct(
+            at.alias("at"), F.get(words, i).alias("word"), F.length(F.array_join(F.slice(words, F.lit(1), i), "")).cast("int").alias("offe")))
+
+    found = F.array_sort(F.filter(F.transform(paths, entry), lambda e: e.isNotNull()))
+    return F.transform(found, lambda e: F.struct(e["word"].alias("word"), e["offe"].alias("offe")))
+
+
+def _joined(found, core, right_len):
+    """(triples, core) after every pair of consecutive core words has been applied in turn."""
+    measured = "left" if right_len else "right"
+    pairs = F.transform(F.slice(core, F.lit(1), F.greatest(F.size(core) - 1, F.lit(0))), lambda c, i: F.struct(
+        c["word"].alias("left"), F.get(core, i + 1)["word"].alias("right"), c["offe"].alias("offe"), F.get(core, i + 1)["offe"].alias("next")))
+
+    def joined_at(ts, at):
+        return F.transform(ts, lambda t, k: F.when(k != at, t).otherwise(F.struct(
+            t["sub"].alias("sub"), F.concat(t["verb"], F.get(ts, k + 1)["verb"]).alias("verb"), F.get(ts, k + 1)["obj"].alias("obj"),
+            F.lit("主谓宾").alias("type"))))
+
+    def filled(ts):
+        last = lambda f: F.coalesce(F.try_element_at(F.filter(F.transform(ts, lambda t: t[f]), lambda x: x != ""), F.lit(-1)), F.lit(""))
+        or_last = lambda x, y: F.when(x == "", y).otherwise(x)
+        return _let(F.struct(last("sub").alias("sub"), last("obj").alias("obj")), lambda d: F.transform(ts, lambda t: F.struct(
+            or_last(t["sub"], d["sub"]).alias("sub"), t["verb"].alias("verb"), or_last(t["obj"], d["obj"]).alias("obj"), t["type"].alias("type"))))
+
+    def apply(acc, p):
+        ts = acc["ts"]
+        touching = p["offe"] + F.length(p[measured]) == p["next"]
+        at = F.when(touching, F.array_min(F.transform(ts, lambda t, k: F.when(
+            (t["verb"] == p["left"]) & (F.get(ts, k + 1)["verb"] == p["right"]), k))))
+        return _let(at, lambda j: F.struct(
+            F.when(~touching, filled(ts)).when(j.isNull(), ts).otherwise(joined_at(ts, j)).alias("ts"),
+            F.array_append(acc["core"], F.struct(F.when(j.isNull(), p["left"]).otherwise(F.concat(p["left"], p["right"])).alias("word"),
+                                                 p["offe"].alias("offe"))).alias("core")))
+
+    none = F.array().cast("array<struct<word:string,offe:int>>")
+    return F.aggregate(pairs, F.struct(found.alias("ts"), none.alias("core")), apply, lambda acc: F.struct(
+        acc["ts"].alias("ts"), F.concat(acc["core"], F.slice(core, F.greatest(F.size(core), F.lit(1)), F.lit(1))).alias("core")))
+
+
+def _read(sents: DataFrame, keys, right_len: bool) -> DataFrame:
+    """(keys…, r): triples ``r.ts`` and joined core words ``r.core`` of every sentence with words, tags and arcs.
+
+    One column per step keeps the nested array functions shallow, which the
+    analyzer needs; each column has several uses, so Spark computes it once.
+    Callers explode with the outer form: the filter that Spark infers for the
+    plain one would be pushed down and repeat all steps.
+    """
+    words, tags, arcs = F.col("_words"), F.col("_tags"), F.col("_arcs")
+    # Every rule of X4 needs a subject or object that hangs on a verb; other sentences have no phrases to spell.
+    fits = F.exists(arcs, lambda a: a["rel"].isin("SBV", "VOB", "FOB") & (F.get(tags, a["head"] - 1) == "v"))
+    whole = (sents.where(F.col("words").isNotNull() & F.col("postags").isNotNull() & F.col("arcs").isNotNull())
+             .select(*keys, F.col("words").alias("_words"), F.col("postags").alias("_tags"), F.col("arcs").alias("_arcs")))
+    none = F.array().cast("array<struct<sub:string,verb:string,obj:string,type:string>>")
+    return (whole.withColumn("_phrases", F.when(fits, _phrase_steps(arcs, tags))).withColumn("_chains", _core_steps(arcs))
+            .withColumn("_under", _paths(F.col("_phrases"))).withColumn("_cores", _paths(F.col("_chains")))
+            .withColumn("_stream", _phrase_stream(words, arcs, F.col("_under"))).withColumn("_core", _core_list(words, arcs, F.col("_cores")))
+            .withColumn("_found", F.coalesce(_verb_triples(words, tags, arcs, F.col("_under"), F.col("_stream")), none))
+            .select(*keys, _joined(F.col("_found"), F.col("_core"), right_len).alias("r")))
 
 
 def triples(sents: DataFrame, keys, right_len: bool = False) -> DataFrame:
-    """(keys…, k, sub, verb, obj, type) triples of every sentence,
-    computed row by row where the sentence already sits (mapInPandas)."""
+    """(keys…, k, sub, verb, obj, type, core): the triples of every sentence.
+
+    ``core`` tells whether the verb is one of the sentence's joined core words
+    (E2 keeps those).  Array functions inside the sentence row: no join, no
+    shuffle, no Python.  Two core words touch when the length of the right one
+    leads from one offset to the next, as in the original; ``right_len`` takes
+    the length of the left one.  Sentences without words, tags or arcs give no
+    rows.
+    """
+    k = list(keys)
+    rows = _read(sents, k, right_len).select(*k, F.transform("r.core", lambda c: c["word"]).alias("_core"), F.posexplode_outer("r.ts").alias("k", "t"))
+    return (rows.where(F.col("k").isNotNull())
+            .select(*k, "k", "t.sub", "t.verb", "t.obj", "t.type", F.array_contains("_core", F.col("t.verb")).alias("core")))
+
+
+def joined_core_words(sents: DataFrame, keys, right_len: bool = False) -> DataFrame:
+    """X3 after X5: (keys…, k, word, offe), touching core words whose triples were joined as one."""
     k = list(keys)
-    schema = ", ".join(f"{c} {sents.schema[c].dataType.simpleString()}" for c in k) + \
-        ", k int, sub string, verb string, obj string, type string"
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                d = rec._asdict()
-                arcs = list(d["arcs"]) if d["arcs"] is not None else []
-                heads = [a["head"] for a in arcs]
-                rels = [a["rel"] for a in arcs]
-                out, _ = sentence_triples(list(d["words"]), list(d["postags"]), heads, rels, right_len)
-                for n, (s, v, o, ty) in enumerate(out):
-                    rows.append(tuple(d[c] for c in k) + (n, s, v, o, ty))
-            yield pd.DataFrame(rows, columns=k + ["k", "sub", "verb", "obj", "type"])
-
-    return sents.select(*k, "words", "postags", "arcs").mapInPandas(run, schema)
+    rows = _read(sents, k, right_len).select(*k, F.posexplode_outer("r.core").alias("k", "c"))
+    return rows.where(F.col("k").isNotNull()).select(*k, "k", "c.word", "c.offe")
 
 
 # --- F4: merge tokens covered by a special chunk -----------------------------
