@@ -257,6 +257,11 @@ def _joined(found, core, right_len):
         acc["ts"].alias("ts"), F.concat(acc["core"], F.slice(core, F.greatest(F.size(core), F.lit(1)), F.lit(1))).alias("core")))
 
 
+def _has_triple(tags, arcs):
+    """Every rule of X4 needs a subject or object that hangs on a verb."""
+    return F.exists(arcs, lambda a: a["rel"].isin("SBV", "VOB", "FOB") & (F.get(tags, a["head"] - 1) == "v"))
+
+
 def _read(sents: DataFrame, keys, right_len: bool) -> DataFrame:
     """(keys…, r): triples ``r.ts`` and joined core words ``r.core`` of every sentence with words, tags and arcs.
 
@@ -266,8 +271,7 @@ def _read(sents: DataFrame, keys, right_len: bool) -> DataFrame:
     plain one would be pushed down and repeat all steps.
     """
     words, tags, arcs = F.col("_words"), F.col("_tags"), F.col("_arcs")
-    # Every rule of X4 needs a subject or object that hangs on a verb; other sentences have no phrases to spell.
-    fits = F.exists(arcs, lambda a: a["rel"].isin("SBV", "VOB", "FOB") & (F.get(tags, a["head"] - 1) == "v"))
+    fits = _has_triple(tags, arcs)  # other sentences have no phrases to spell
     whole = (sents.where(F.col("words").isNotNull() & F.col("postags").isNotNull() & F.col("arcs").isNotNull())
              .select(*keys, F.col("words").alias("_words"), F.col("postags").alias("_tags"), F.col("arcs").alias("_arcs")))
     none = F.array().cast("array<struct<sub:string,verb:string,obj:string,type:string>>")
@@ -289,7 +293,8 @@ def triples(sents: DataFrame, keys, right_len: bool = False) -> DataFrame:
     rows.
     """
     k = list(keys)
-    rows = _read(sents, k, right_len).select(*k, F.transform("r.core", lambda c: c["word"]).alias("_core"), F.posexplode_outer("r.ts").alias("k", "t"))
+    fitting = sents.where(_has_triple(F.col("postags"), F.col("arcs")))
+    rows = _read(fitting, k, right_len).select(*k, F.transform("r.core", lambda c: c["word"]).alias("_core"), F.posexplode_outer("r.ts").alias("k", "t"))
     return (rows.where(F.col("k").isNotNull())
             .select(*k, "k", "t.sub", "t.verb", "t.obj", "t.type", F.array_contains("_core", F.col("t.verb")).alias("core")))
 
