@@ -234,6 +234,34 @@ def test_signatures_lose_no_link():
         assert differ <= len(a) + len(b) - 2 * both
 
 
+def test_chosen_probes_lose_no_link(spark):
+    """Boundary pairs still meet in a probed key when empty segments and random others are the costly ones."""
+    rng = np.random.default_rng(5)
+    edges, num, den = ngram_join.band_edges(100), ngram_join.NUM, ngram_join.DEN
+    live, sizes, indexed = [], [], []
+    while len(indexed) < 2000:
+        whole = rng.integers(0, 2**63, 100).astype(np.uint64)
+        n = int(rng.integers(5, 61))
+        differ = ngram_join.most_differences(n)
+        cut = int(rng.integers(0, differ // 2 + 1))
+        x, y = np.unique(whole[:n]), np.unique(whole[cut:n + differ - cut])
+        if len(x) > len(y) or den * (n - cut) < num * (len(y) + cut):
+            continue
+        (kx, ux), (ky, uy) = ngram_join.signatures(x, edges), ngram_join.signatures(y, edges)
+        band = int(np.searchsorted(edges, n, "right")) - 1
+        m, _ = ngram_join._shape(edges[band], edges[band + 1], num, den)
+        filled = np.unique((ngram_join._mix(x + np.uint64(band + 1)) >> np.uint64(32)) % np.uint64(m)).astype(int)
+        # The first m signatures are the equalities of the set's own band.
+        costly = rng.random(len(kx)) < 0.2
+        costly[np.setdiff1d(np.arange(m), filled)] = True
+        live += [(k, len(indexed), u, 50 if c else 2) for k, u, c in zip(kx.tolist(), ux.tolist(), costly)]
+        sizes.append((len(indexed), n))
+        indexed.append({(k, u & 4 == 4) for k, u in zip(ky.tolist(), uy.tolist())})
+    chosen = ngram_join.chosen_probes(spark.createDataFrame(live, "key long, sid long, unit int, cost long"), spark.createDataFrame(sizes, "sid long, n long"), edges)
+    met = {r.sid for r in chosen.collect() if (r.key, False) in indexed[r.sid] or not r.deleted and (r.key, True) in indexed[r.sid]}
+    assert met == set(range(len(indexed)))
+
+
 def brute_secrets(text):
     kinds = [("assign", r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
              ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 24)]

@@ -7,8 +7,10 @@ H(a), two linked sets differ by at most tau_i in some segment i; tau_i is -1
 (segment skipped), 0 (equal subsets: one signature) or 1 (one-deletion
 neighbours: the subset without one of its shingles).  The segments offer more
 than H(a) + 1, so each set skips the costly ones: the cost of a signature is
-the number of rows that share it.  What is left gives candidate pairs, which
-are verified on their whole shingle sets.
+the number of rows that share it.  A segment empty in the smaller set has no
+deletions of its own: its equality also meets partners with one shingle there,
+so skipping it gives up both.  What is left gives candidate pairs, which are
+verified on their whole shingle sets.
 
 Before pairs are formed, the shingles that one candidate set alone holds are
 counted.  They stand in its difference to every partner, so a set with more
@@ -102,8 +104,9 @@ def set_name(tokens: np.ndarray) -> int:
 def signatures(tokens: np.ndarray, edges: list[int], num: int = NUM, den: int = DEN):
     """key, unit of the signatures of a set.
 
-    ``unit`` is segment * 8 + roles: 1 index, 2 probe, 4 one-deletion.  A set
-    probes its own band and is indexed there and, if a smaller set's partner
+    ``unit`` is segment * 16 + roles: 1 index, 2 probe, 4 one-deletion, 8
+    equality of an empty segment that has deletions in other sets (it stands
+    for both).  A set probes its own band and is indexed there and, if a smaller set's partner
     can be that large, in the band below.
     """
     size = len(tokens)
@@ -125,12 +128,13 @@ def signatures(tokens: np.ndarray, edges: list[int], num: int = NUM, den: int =
         base = _mix((np.arange(m, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64((k + 1) << 40 | _EMPTY_KEY))
         roles = 3 if k == band else 1
         keys.append(_mix(whole + base))
-        units.append(np.arange(m) * 8 + roles)
+        empty = (ends[1:] == ends[:-1]) & (np.arange(m) < q)
+        units.append(np.arange(m) * 16 + 8 * empty + roles)
         # One-deletion signatures of the first q segments (an empty one has none).
         last = ends[q]
         without = whole[segment[:last]] - mixed[:last]
         keys.append(_mix(without + base[segment[:last]]))
-        units.append(segment[:last] * 8 + 4 + roles)
+        units.append(segment[:last] * 16 + 4 + roles)
     return np.concatenate(keys).view(np.int64), np.concatenate(units).astype(np.int32)
 
 
@@ -268,7 +272,8 @@ def chosen_probes(live: DataFrame, sizes: DataFrame, edges: list[int], num: int
 
     ``live`` holds key, sid, unit, cost of the signatures that several sets
     share; a unit is a segment's equality or its deletions, whose cost is at
-    least that of its equality.  Signatures of no other set cost nothing.
+    least that of its equality.  Signatures of no other set cost nothing.  The
+    equality of an empty segment with deletions counts as two units skipped.
     """
     offer = F.lit(None).cast("int")
     for low, high in zip(edges, edges[1:]):
@@ -277,12 +282,12 @@ def chosen_probes(live: DataFrame, sizes: DataFrame, edges: list[int], num: int
     partner = F.floor(F.col("n") * den / num)
     # One unit more than H must stay.
     skip = offer - (F.floor((den - num) * (F.col("n") + partner) / (den + num)) + 1)
-    probes = live.where("unit & 2 = 2").select("key", "sid", F.expr("unit >> 3").alias("segment"), F.expr("unit & 4 = 4").alias("deleted"), "cost")
-    units = probes.groupBy("sid", "segment", "deleted").agg(F.sum("cost").alias("cost"))
+    probes = live.where("unit & 2 = 2").select("key", "sid", F.expr("unit >> 4").alias("segment"), F.expr("unit & 4 = 4").alias("deleted"), F.expr("1 + (unit >> 3 & 1)").alias("weight"), "cost")
+    units = probes.groupBy("sid", "segment", "deleted").agg(F.sum("cost").alias("cost"), F.max("weight").alias("weight"))
     most = F.max("cost").over(Window.partitionBy("sid", "segment"))
-    costly = Window.partitionBy("sid").orderBy(F.desc("rank_cost"), F.desc("deleted"), "segment")
+    costly = Window.partitionBy("sid").orderBy(F.desc("rank_cost"), F.desc("deleted"), "segment").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (units.withColumn("rank_cost", F.when(F.col("deleted"), most).otherwise(F.col("cost")))
-              .withColumn("r", F.row_number().over(costly)).join(sizes.select("sid", "n"), "sid"))
+              .withColumn("r", F.sum("weight").over(costly)).join(sizes.select("sid", "n"), "sid"))
     left = ranked.where(F.col("r") > skip).select("sid", "segment", "deleted")
     return probes.select("key", "sid", "segment", "deleted").join(left, ["sid", "segment", "deleted"]).select("key", "sid", "deleted")
 
