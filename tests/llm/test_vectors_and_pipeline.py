@@ -80,3 +80,19 @@ def test_pipeline_against_single_steps(spark, tmp_path):
     want = sorted((r[0], grid.sp.encode(r[1])) for r in kept for _ in range(copies.get(r[0], 0)))
     assert got == want
     assert exact_dedup.keep_distinct(docs).count() == language_ppm.stage(spark, docs, "").count() - 1 + 2
+
+
+def test_pipeline_near_stage_thresholds(spark):
+    """Pairs that link at 0.8 of five-word shingles, though not at 0.85 of four-word ones."""
+    import corpus_pipeline
+    rng = np.random.default_rng(8)
+    rows = []
+    for at in range(0, 60, 2):
+        base = [f"w{x}" for x in rng.integers(0, 10**9, 50 if at % 4 else 100)]
+        other = base[:25] + ["changed"] + base[26:] if at % 4 else base + [f"x{x}" for x in rng.integers(0, 10**9, 22 if at < 40 else 25)]
+        rows += [(at, " ".join(base), "en", "s0", 1), (at + 1, " ".join(other), "en", "s0", 1)]
+    texts = {r[0]: r[1] for r in rows}
+    want = {c for _, c in ngram_join.brute_force(texts, 5, 80, 100).values()}
+    assert 30 < len(want) < 60 and len({c for _, c in ngram_join.brute_force(texts).values()}) == 60
+    got = sorted(r.doc_id for r in corpus_pipeline.near(spark, spark.createDataFrame(rows, DOCS), "").collect())
+    assert got == sorted(want)

@@ -292,7 +292,7 @@ def chosen_probes(live: DataFrame, sizes: DataFrame, edges: list[int], num: int
     return probes.select("key", "sid", "segment", "deleted").join(left, ["sid", "segment", "deleted"]).select("key", "sid", "deleted")
 
 
-def _pairs(probes: DataFrame, index: DataFrame, comps: DataFrame) -> DataFrame:
+def _pairs(probes: DataFrame, index: DataFrame, comps: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """Distinct candidate pairs (x, y) across components.
 
     In every key the largest component is left aside from meeting itself, so a
@@ -311,18 +311,19 @@ def _pairs(probes: DataFrame, index: DataFrame, comps: DataFrame) -> DataFrame:
     left = p.join(main, "key").select("key", *words("wx"), F.col("sid").alias("x"), F.col("comp").alias("cx"), F.col("deleted").alias("dx"), F.col("n").alias("nx"), F.col("u").alias("ux"), (F.col("comp") == F.col("main")).alias("mx"))
     right = s.join(main, "key").select(F.col("key").alias("k"), *words("wy"), F.col("sid").alias("y"), F.col("comp").alias("cy"), F.col("deleted").alias("dy"), F.col("n").alias("ny"), F.col("u").alias("uy"), (F.col("comp") == F.col("main")).alias("my"))
     differ = sum((F.bit_count(F.col(f"wx{i}").bitwiseXOR(F.col(f"wy{i}"))) for i in range(SKETCH)), F.lit(0))
-    fits = ((F.col("cx") != F.col("cy")) & ~(F.col("dx") & F.col("dy")) & (F.col("nx") <= F.col("ny")) & (F.col("ny") * NUM <= F.col("nx") * DEN)
-            & ((F.col("ux") + F.col("uy")) * (DEN + NUM) <= (F.col("nx") + F.col("ny")) * (DEN - NUM))
-            & (differ * (DEN + NUM) <= (F.col("nx") + F.col("ny")) * (DEN - NUM)))
+    fits = ((F.col("cx") != F.col("cy")) & ~(F.col("dx") & F.col("dy")) & (F.col("nx") <= F.col("ny")) & (F.col("ny") * num <= F.col("nx") * den)
+            & ((F.col("ux") + F.col("uy")) * (den + num) <= (F.col("nx") + F.col("ny")) * (den - num))
+            & (differ * (den + num) <= (F.col("nx") + F.col("ny")) * (den - num)))
     aside = left.where("NOT mx").join(right, (F.col("key") == F.col("k")) & fits)
     inside = left.where("mx").join(right.where("NOT my"), (F.col("key") == F.col("k")) & fits)
     both = aside.select("x", "y").union(inside.select("x", "y"))
     return both.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def ngram_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of ``docs``.
 
+    Two sets of ``words``-word shingles link when den * intersection >= num * union.
     ``component_id`` is the smallest doc_id reachable by links, itself
     included.  A null or empty text has an empty set and no link.  A row with a
     null id gets its set size and a null component, and links nothing.
@@ -331,7 +332,6 @@ def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     spark = docs.sparkSession
     short_batches(spark)
-    num, den = NUM, DEN
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = staged(rows.mapInArrow(_sizes(words), "doc_id long, n_shingles long, sid long"), "shingle_sets")
     known = named.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -342,7 +342,7 @@ def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     shared = made.withColumn("lo", F.min("sid").over(by_key)).withColumn("hi", F.max("sid").over(by_key)).withColumn("cost", F.count("*").over(by_key))
     # Signatures of one set alone end here; a set seen by several tasks stands once from here on.
     live = staged(shared.where("lo <> hi").select("key", "sid", "unit", "cost").distinct(), "live_signatures")
-    probes = staged(chosen_probes(live, distinct, edges), "chosen_probes")
+    probes = staged(chosen_probes(live, distinct, edges, num, den), "chosen_probes")
     # Index rows of the keys that are still probed.
     asked = staged(probes.select("key").distinct(), "probed_keys")
     index = staged(live.where("unit & 1 = 1").join(asked, "key").select("key", "sid", F.expr("unit & 4 = 4").alias("deleted")).distinct(), "index_rows")
@@ -358,9 +358,9 @@ def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     leaders = index.groupBy("key").agg(F.min_by("sid", F.struct("u", "sid")).alias("y"))
     meets = probes.join(leaders, "key").where("sid <> y")
     best = meets.groupBy(F.col("sid").alias("x"), "y").agg(F.count("*").alias("c")).groupBy("x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
-    found = staged(linked(best, sets), "links_0")
+    found = staged(linked(best, sets, num, den), "links_0")
     comps = components(found)
-    rest = staged(linked(_pairs(probes, index, comps), sets), "links_1")
+    rest = staged(linked(_pairs(probes, index, comps, num, den), sets, num, den), "links_1")
     comps = components(found.union(rest))
     of_set = distinct.select("sid", "first_id").join(comps, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     smallest = of_set.groupBy("comp").agg(F.min("first_id").alias("component_id"))
@@ -370,9 +370,9 @@ def ngram_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return joined.union(alone)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id (null ids stay)."""
-    dropped = ngram_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
+    dropped = ngram_components(docs, words, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
 
 
@@ -380,7 +380,7 @@ def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return ngram_components(docs)
 
 
-def brute_force(texts: dict[int, str | None], words: int = WORDS) -> dict[int, tuple[int, int]]:
+def brute_force(texts: dict[int, str | None], words: int = WORDS, num: int = NUM, den: int = DEN) -> dict[int, tuple[int, int]]:
     """doc_id to (set size, component) by comparing all pairs of shingle sets."""
     import re
     sets = {}
@@ -398,9 +398,9 @@ def brute_force(texts: dict[int, str | None], words: int = WORDS) -> dict[int, t
     for n, i in enumerate(ids):
         for j in ids[n + 1:]:
             a, b = sets[i], sets[j]
-            if a and b and min(len(a), len(b)) * DEN >= NUM * max(len(a), len(b)):
+            if a and b and min(len(a), len(b)) * den >= num * max(len(a), len(b)):
                 both = len(a & b)
-                if DEN * both >= NUM * (len(a) + len(b) - both):
+                if den * both >= num * (len(a) + len(b) - both):
                     x, y = sorted((root(i), root(j)))
                     label[y] = x
     return {i: (len(sets[i]), root(i)) for i in ids}
