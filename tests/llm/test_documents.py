@@ -181,6 +181,16 @@ def test_piece_codec(spark, edge_docs, edge_rows):
     assert all(r.same for r in piece_codec.query(spark, edge_docs).collect())
 
 
+def test_keep_distinct_leaves_one_row_per_text(spark):
+    rows = [(1, "a b", "en", "s0", 3), (7, "A b", "en", "s0", 3), (7, "a b", "fr", "s1", 3), (7, "a b", "fr", "s1", 3), (7, "c", "en", "s0", 1), (8, "d", "en", "s0", 1),
+            (None, "e", "en", "s0", 1), (None, "E", "fr", "s1", 1), (None, "d", "en", "s0", 1), (9, None, "en", "s0", 0), (9, "", "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = [tuple(r) for r in exact_dedup.keep_distinct(docs).collect()]
+    assert set(got) <= set(rows)
+    assert sorted(((r[1] or "").lower(), r[0]) for r in got) == [("", 9), ("a b", 7), ("c", 7), ("d", 8), ("e", None)]
+    assert exact_dedup.keep_distinct(docs.limit(0)).count() == 0
+
+
 def test_ngram_join(spark, edge_docs, edge_rows):
     rows = ngram_join.query(spark, edge_docs).collect()
     assert len(rows) == len(edge_rows)

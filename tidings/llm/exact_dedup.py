@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import staged
 
@@ -88,10 +89,22 @@ def exact_dedup(docs: DataFrame, table: str | None = None, buckets: int | None =
 
 
 def keep_distinct(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    # doc_id alone decides unless ids repeat, so the digest is compared too.
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_digest(F.col("text")) == F.col("__digest")), "left_semi")
+    """One row of ``docs`` per digest, with all its columns: that of the largest doc_id (null when all are null).
+
+    Of rows that repeat the id as well, the one with the smallest hash of all columns stays.
+    """
+    kept = staged(exact_dedup(docs).where("kept").groupBy(F.col("digest").alias("__digest")).agg(F.first("doc_id").alias("__id"), F.count("*").alias("__copies")), "kept_digests")
+
+    def rows(part: DataFrame) -> DataFrame:
+        # doc_id alone decides unless ids repeat, so the digest is compared too.
+        return docs.join(part, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_digest(F.col("text")) == F.col("__digest")), "left_semi")
+
+    once = rows(kept.where("__copies = 1"))
+    # Written on its own: mostly empty or small, so that the texts need not move for it.
+    several = rows(staged(kept.where("__copies > 1"), "repeated_digests"))
+    whole = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    first = F.row_number().over(Window.partitionBy(text_digest(F.col("text"))).orderBy(whole))
+    return once.union(several.withColumn("__row", first).where("__row = 1").drop("__row"))
 
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
