@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from . import (collision_ann, exact_dedup, language_ppm, mixing, ngram_join, piece_codec, secret_crf, sharding, token_cache,
-               token_order)
+from . import (collision_ann, displacement_fim, exact_dedup, language_ppm, merge_replay, mixing, ngram_join, piece_codec, secret_crf,
+               sharding, token_alignment, token_cache, token_order)
 from .common import documents
 
 _ON_DOCUMENTS = {
     "op1_hypergeometric_sharding": sharding, "op2_poisson_mixing": mixing, "op3_digest_dedup": exact_dedup,
     "op4_feistel_order": token_order, "op5_piece_codec": piece_codec, "op6_ngram_join": ngram_join,
     "op7_secret_crf": secret_crf, "op8_token_cache": token_cache, "op9_language_ppm": language_ppm,
+    "op11_merge_replay": merge_replay, "op12_displacement_fim": displacement_fim, "op13_token_alignment": token_alignment,
 }
 
 
