@@ -175,7 +175,7 @@ def marked(text: str) -> str:
     return (SPACE + text).replace(" ", SPACE) if text else ""
 
 
-_RESULT = "doc_id long, text_crc32 long, n_tokens int, ids array<int>, decoded string"
+_RESULT = "doc_id long, text_crc32 long, space_mark boolean, n_tokens int, ids array<int>, decoded string"
 
 
 def _lists(rows: list) -> pa.Array:
@@ -194,8 +194,8 @@ def _whole(model: str):
                 rows = grid.sp.encode(part.column("text").to_pylist(), num_threads=1)
                 back = [grid.decode(r) for r in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_crc32"), pa.array([len(r) for r in rows], pa.int32()), _lists(rows), pa.array(back, pa.string())],
-                    ["doc_id", "text_crc32", "n_tokens", "ids", "decoded"])
+                    [part.column("doc_id"), part.column("text_crc32"), part.column("space_mark"), pa.array([len(r) for r in rows], pa.int32()), _lists(rows), pa.array(back, pa.string())],
+                    ["doc_id", "text_crc32", "space_mark", "n_tokens", "ids", "decoded"])
     return run
 
 
@@ -203,18 +203,18 @@ def _chunks(chunk: int, reach: int):
     """Cut giant documents: chunk ``j`` of ``n`` with ``reach`` characters around it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, doc_id, crc, text in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "text_crc32", "text"))):
+            for key, doc_id, crc, mark, text in zip(*(batch.column(c).to_pylist() for c in ("key", "doc_id", "text_crc32", "space_mark", "text"))):
                 s = marked(text)
                 n = -(-len(s) // chunk)
                 for j in range(n):
                     a, b = j * chunk, min(len(s), (j + 1) * chunk)
                     left = max(0, a - reach)
-                    yield pa.RecordBatch.from_pylist([{"key": key, "doc_id": doc_id, "text_crc32": crc, "j": j, "n": n, "a": a - left, "b": b - left, "s": s[left:b + reach]}],
+                    yield pa.RecordBatch.from_pylist([{"key": key, "doc_id": doc_id, "text_crc32": crc, "space_mark": mark, "j": j, "n": n, "a": a - left, "b": b - left, "s": s[left:b + reach]}],
                                                      schema=_CHUNK)
     return run
 
 
-_CHUNK = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("text_crc32", pa.int64()), ("j", pa.int32()), ("n", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("s", pa.string())])
+_CHUNK = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("text_crc32", pa.int64()), ("space_mark", pa.bool_()), ("j", pa.int32()), ("n", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("s", pa.string())])
 _STATE = pa.list_(pa.int32())
 _MATRIX = pa.schema([("key", pa.int64()), ("level_j", pa.int32()), ("entries", pa.list_(_STATE))])
 MATRIX_DDL = "key long, level_j int, entries array<array<int>>"
@@ -307,25 +307,27 @@ def _decode(model: str):
 
 
 def encode_decode(docs: DataFrame, model: str = MODEL, chunk_chars: int = CHUNK_CHARS, fan_in: int = FAN_IN) -> DataFrame:
-    """``doc_id, text_crc32, n_tokens, ids, decoded``: one row per row of ``docs``.
+    """``doc_id, text_crc32, space_mark, n_tokens, ids, decoded``: one row per row of ``docs``.
 
     Ids are those of the SentencePiece library, without begin or end.
     ``decoded`` is the text of the ids: the text itself, except that the
     library's space mark (U+2581) comes back as a space.  ``text_crc32`` is the
-    checksum of the given text, to compare the round trip with.  Null counts as
+    checksum of the given text, to compare the round trip with; ``space_mark``
+    tells that the text holds that sign.  Null counts as
     empty; an empty text has no ids; null or repeated ids keep their rows; an
     empty table gives no rows; further columns are not read.
     """
     short_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("text_crc32"), text.alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("text_crc32"),
+                       F.contains(text, F.lit(SPACE)).alias("space_mark"), text.alias("text"))
     # The mark in front makes a text one character longer than its chunk may be.
     small = F.length("text") < chunk_chars
     whole = rows.where(small).mapInArrow(_whole(model), _RESULT)
     reach = 2 * Lattice(model).longest
     # The key only has to be distinct in the table written here.
     cut = rows.where(~small).withColumn("key", F.monotonically_increasing_id()).mapInArrow(
-        _chunks(chunk_chars, reach), "key long, doc_id long, text_crc32 long, j int, n int, a int, b int, s string")
+        _chunks(chunk_chars, reach), "key long, doc_id long, text_crc32 long, space_mark boolean, j int, n int, a int, b int, s string")
     chunks = staged(cut, "codec_chunks")
     most = chunks.agg(F.max("n")).first()[0] or 0
     work = chunks.select("key", "j", "n", "a", "b", "s")
@@ -333,15 +335,17 @@ def encode_decode(docs: DataFrame, model: str = MODEL, chunk_chars: int = CHUNK_
     states = border_states(matrices, most, fan_in).withColumnRenamed("level_j", "j")
     traced = work.join(states, ["key", "j"]).mapInArrow(_backtrace(model), "key long, j int, ids array<int>")
     joined = traced.groupBy("key").agg(F.expr("flatten(transform(array_sort(collect_list(struct(j, ids))), x -> x.ids))").alias("ids"))
-    heads = chunks.where("j = 0").select("key", "doc_id", "text_crc32")
-    giant = heads.join(joined, "key").select("doc_id", "text_crc32", F.size("ids").alias("n_tokens"), "ids").mapInArrow(_decode(model), _RESULT)
+    heads = chunks.where("j = 0").select("key", "doc_id", "text_crc32", "space_mark")
+    giant = heads.join(joined, "key").select("doc_id", "text_crc32", "space_mark", F.size("ids").alias("n_tokens"), "ids").mapInArrow(_decode(model), _RESULT)
     return whole.unionByName(giant)
 
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Ids of every document; ``same`` tells that decoding gave the text back (the space mark read as a space)."""
-    return encode_decode(docs.withColumn("text", F.translate("text", SPACE, " "))).select(
-        "doc_id", "n_tokens", "ids", (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("same"))
+    """Ids of every document; ``same`` tells that decoding gave the given text back.
+
+    ``space_mark`` tells that the text holds U+2581, which the library reads as a space: such a text cannot come back.
+    """
+    return encode_decode(docs).select("doc_id", "n_tokens", "ids", (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("same"), "space_mark")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
