@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from llm_cases import DOCS
+from llm_cases import DOCS, sentence  # noqa: E402
 from pyspark.sql import functions as F
 
 from tidings.llm import exact_dedup, language_ppm, mixing, ngram_join, piece_codec, secret_crf, sharding, token_cache, token_order
@@ -178,7 +178,20 @@ def test_piece_codec(spark, edge_docs, edge_rows):
     want = [(i, grid.sp.encode(t or ""), (t or "").replace("▁", " ")) for i, t, *_ in edge_rows]
     assert sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=str) == sorted(want, key=str)
     assert all(r.n_tokens == len(r.ids) for r in got)
-    assert all(r.same for r in piece_codec.query(spark, edge_docs).collect())
+    rows = piece_codec.query(spark, edge_docs).collect()
+    assert all(r.same != r.space_mark for r in rows) and {r.doc_id for r in rows if r.space_mark} == {38}
+
+
+def test_piece_codec_says_what_does_not_come_back(spark):
+    """The space mark is read as a space, in texts of one chunk and of many."""
+    texts = {1: "a ▁ b", 2: "a   b", 3: "the ▁river stones " * 90, 4: "the river stones " * 90, 5: None}
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts.items()], DOCS)
+    sp = piece_codec.Lattice(piece_codec.MODEL).sp
+    for chunk in (piece_codec.CHUNK_CHARS, 200):
+        got = {r.doc_id: r for r in piece_codec.encode_decode(docs, chunk_chars=chunk, fan_in=3).collect()}
+        assert all(got[i].ids == sp.encode(t or "") and got[i].decoded == (t or "").replace("▁", " ") for i, t in texts.items())
+    same = {r.doc_id: (r.same, r.space_mark) for r in piece_codec.query(spark, docs).collect()}
+    assert same == {1: (False, True), 2: (True, False), 3: (False, True), 4: (True, False), 5: (True, False)}
 
 
 def test_keep_distinct_leaves_one_row_per_text(spark):
@@ -332,7 +345,7 @@ def test_token_cache(spark, edge_docs, edge_rows):
     want = sorted(((i, len((t or "").encode()), len(sp.encode(t or ""))) for i, t, *_ in edge_rows), key=str)
     assert sorted(map(tuple, token_cache.token_counts(edge_docs, cache).collect()), key=str) == want
     stored = spark.read.parquet(cache).count()
-    assert stored == len({t or "" for _, t, *_ in edge_rows}) + 1  # the repeated row stands once more, with the same count
+    assert stored == len({t or "" for _, t, *_ in edge_rows})
     assert sorted(map(tuple, token_cache.token_counts(edge_docs, cache).collect()), key=str) == want
     assert spark.read.parquet(cache).count() == stored
     # Stored counts are used, not counted again.
@@ -341,6 +354,22 @@ def test_token_cache(spark, edge_docs, edge_rows):
     assert {r.n_tokens for r in token_cache.token_counts(edge_docs, mark).collect()} == {77}
 
 
+def test_token_cache_encodes_each_content_once(spark, edge_docs, edge_rows, monkeypatch):
+    """Repeated rows, a group of null ids, and a second delivery that meets the first one's counts."""
+    docs = edge_docs.unionByName(edge_docs).unionByName(spark.range(30).select(
+        *[(F.lit(None).cast("long") if c == "doc_id" else F.lit("the same words")).cast(edge_docs.schema[c].dataType).alias(c) if c in ("doc_id", "text")
+          else F.lit(None).cast(edge_docs.schema[c].dataType).alias(c) for c in edge_docs.columns]))
+    caches = []
+    monkeypatch.setattr(token_cache, "new_path", lambda *a: caches.append(new_path(*a)) or caches[-1])
+    rows = token_cache.query(spark, docs).collect()
+    assert len(rows) == 2 * len(edge_rows) + 30
+    stored = [bytes(r.digest) for r in spark.read.parquet(caches[0]).collect()]
+    assert len(stored) == len(set(stored)) == len({t or "" for _, t, *_ in edge_rows}) + 1
+    sp = token_cache.processor(token_cache.MODEL)
+    want = collections.Counter((i, len((t or "").encode()), n, n > token_cache.LIMIT) for i, t, *_ in 2 * edge_rows + 30 * [(None, "the same words")] for n in [len(sp.encode(t or ""))])
+    assert collections.Counter(map(tuple, rows)) == want
+
+
 def slow_bits(counts, lang, raw):
     """PPM code length of a text, byte by byte."""
     total = 0.0
@@ -399,6 +428,49 @@ def test_language(spark, edge_docs, edge_rows):
     assert {1, 2, 3, 32, 38} <= ids and not ids & {30, 31, 37}
 
 
+def test_letters_are_category_l(spark, edge_rows):
+    """Number signs are no letters, neither in fitting nor in prediction; modifier and title-case letters are."""
+    signs = {200: "½ ²", 201: "Ⅷ", 202: "①", 203: "ª", 204: "ǅ", 205: "_", 206: "\u0301", 207: "中"}
+    docs = spark.createDataFrame([r for r in edge_rows if r[0] and r[0] < 30] + [(i, t, "xx", "s", 1) for i, t in signs.items()], DOCS)
+    found = {r.doc_id: r.lang_pred for r in language_ppm.query(spark, docs).collect()}
+    assert {i for i in signs if found[i] == "und"} == {200, 201, 202, 205, 206}
+    assert language_ppm.training_sample(docs).where("lang = 'xx'").count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in (203, 204, 207))
+
+
+def test_language_of_long_documents_is_learned(spark, monkeypatch):
+    """Bounded pieces of long documents stand in where a language has too few short ones; one row repeated is enough."""
+    monkeypatch.setattr(language_ppm, "SAMPLE_BYTES", 400)
+    rows = [(i, sentence(i, 20), "en", "s", 1) for i in range(40)] + [(100 + i, "zwölf über größe " * 200, "de", "s", 1) for i in range(3)]
+    rows += [(300, "olé señor niño", "es", "s", 1)] * 50 + [(i, "où été ça va", "fr", "s", 1) for i in (301, 302, 303)]
+    docs = spark.createDataFrame(rows, DOCS)
+    sample = language_ppm.training_sample(docs, 10).collect()
+    assert all(0 < len(r.text.encode()) <= 400 for r in sample)
+    by_lang = collections.Counter(r.lang for r in sample)
+    assert by_lang["en"] == 10 and set(by_lang) == {"en", "de", "es", "fr"} - ({"es"} if zlib.crc32(b"300") % 5 == 0 else set())
+    found = {r.doc_id: r.lang_pred for r in language_ppm.query(spark, docs).collect()}
+    assert found[101] == "de" and found[5] == "en"
+
+
+def test_stages_leave_columns_as_they_are(spark, edge_docs):
+    """Columns named like those of the operators keep their values and types."""
+    clash = edge_docs
+    for name in ("held_out", "lang_pred", "score", "bits_per_byte", "rate", "copies", "copy_no", "mix_key", "__row", "__text"):
+        clash = clash.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    kept = language_ppm.stage(spark, clash, "")
+    assert kept.dtypes == clash.dtypes
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((tuple(r) for r in clash.where("regexp_like(text, '\\\\p{L}')").collect()), key=str)
+    mixed = mixing.stage(spark, clash, "")
+    got = {tuple(r) for r in mixed.collect()}
+    assert mixed.dtypes == clash.dtypes and got and got <= {tuple(r) for r in clash.collect()}
+
+
+def test_unlabelled_corpus_is_kept(spark, edge_docs):
+    """Nothing is learned, so nothing is rejected."""
+    blank = edge_docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language_ppm.query(spark, blank).collect()} == {"und"}
+    assert language_ppm.stage(spark, blank, "").count() == blank.count()
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = language_ppm.query(spark, docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

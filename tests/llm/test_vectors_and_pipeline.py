@@ -72,7 +72,7 @@ def test_pipeline_against_single_steps(spark, tmp_path):
     for i, r in known.items():
         newest[r[1].lower()] = max(i, newest.get(r[1].lower(), i))
     kept = {i: known[i] for i in newest.values()}
-    components = ngram_join.brute_force({i: r[1] for i, r in kept.items()})
+    components = ngram_join.brute_force({i: r[1] for i, r in kept.items()}, 5, 80, 100)
     kept = [kept[i] for i in sorted({c for _, c in components.values()})]
     left = spark.createDataFrame(kept, DOCS)
     copies = {r.doc_id: r.copies for r in mixing.mix(left).collect()}
@@ -96,3 +96,16 @@ def test_pipeline_near_stage_thresholds(spark):
     assert 30 < len(want) < 60 and len({c for _, c in ngram_join.brute_force(texts).values()}) == 60
     got = sorted(r.doc_id for r in corpus_pipeline.near(spark, spark.createDataFrame(rows, DOCS), "").collect())
     assert got == sorted(want)
+
+
+def test_pipeline_on_edge_tables(spark, tmp_path, edge_docs):
+    """Empty, all null, one row repeated: defined results, no crash."""
+    import corpus_pipeline
+    one = spark.createDataFrame([(7, sentence(7, 60), "en", "s1", 1)] * 40 + [(8, sentence(9, 60), "en", "s1", 1)], DOCS)
+    for name, docs, most in (("empty", edge_docs.limit(0), 0), ("blank", spark.createDataFrame([(None, None, None, None, None)] * 3, DOCS), 3), ("repeated", one, 41)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert len(rows) <= most and {r.doc_id for r in rows} <= {7, 8, None}
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            assert stage(spark, docs, "").columns == docs.columns, k
+    assert corpus_pipeline.exact(spark, one, "").count() == 2 and corpus_pipeline.near(spark, corpus_pipeline.exact(spark, one, ""), "").count() == 2

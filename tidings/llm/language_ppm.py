@@ -14,7 +14,6 @@ language, and texts are scored by table look-ups in numpy.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +26,18 @@ from pyspark.sql.window import Window
 from .common import short_batches, staged
 
 ORDER = 4
-#: The fitting sample: so many documents per language, of so many bytes at most
-#: (longer documents are not drawn; those drawn are read whole).
+#: The fitting sample: so many documents per language, of so many bytes at most.
+#: Of a language with fewer short documents, pieces of that size of its longer ones are taken.
 SAMPLE_DOCS = 300
 SAMPLE_BYTES = 32_768
 UNKNOWN = "und"
 FOLDS = 5
 _PAD = b"\n" * ORDER
 _PIECE = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a code point of Unicode category L, in fitting and in prediction.
+_LETTER = r"\p{L}"
+#: Documents considered per document drawn, so that ranking them stays small work.
+_MARGIN = 4
 _ADDED = "held_out boolean, lang_pred string, score double, bits_per_byte double"
 
 
@@ -64,13 +66,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """lang, text of the documents to learn from: the first by a hash of the id in every language."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold(F.col("doc_id")) != 0)
-                        & F.octet_length("text").between(1, SAMPLE_BYTES))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = staged(usable.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs)
-                 .select("doc_id", "lang").distinct(), "language_sample")
-    return usable.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    """lang, text of the documents to learn from: of every language the first by a hash of id and text, short ones before pieces of long ones.
+
+    Only hashes below a language's threshold are ranked: some ``_MARGIN`` times
+    as many rows as are drawn, whatever the size of the table, and the
+    smallest hash always, so that every language is learned.
+    """
+    size = F.octet_length("text")
+    usable = (docs.where(F.col("lang").isNotNull() & F.col("text").rlike(_LETTER) & (fold(F.col("doc_id")) != 0))
+              .select("lang", "text", (size > SAMPLE_BYTES).alias("long"), F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("h")))
+    keys = staged(usable.select("lang", "long", "h"), "language_keys")
+    reach = keys.groupBy("lang", "long").agg(F.count("*").alias("n"), F.min("h").alias("least")).select(
+        F.col("lang").alias("r_lang"), F.col("long").alias("r_long"),
+        "least", (F.least(F.lit(1.0), F.lit(float(_MARGIN * sample_docs)) / F.col("n")) * float(2**63 - 1024)).cast("long").alias("reach"))
+    near = keys.join(reach, (F.col("lang") == F.col("r_lang")) & (F.col("long") == F.col("r_long"))).where("h <= reach OR h = least")
+    order = Window.partitionBy("lang").orderBy("long", "h")
+    ids = staged(near.select("lang", "long", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs)
+                 .select("lang", "h"), "language_sample")
+    # Characters of at most 4 bytes; where the piece begins is drawn by the hash.
+    chars = SAMPLE_BYTES // 4
+    start = F.col("h") % F.greatest(F.length("text") - chars, F.lit(1)) + 1
+    piece = F.when(F.col("long"), F.col("text").substr(start.cast("int"), F.lit(chars))).otherwise(F.col("text"))
+    return usable.join(ids, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", piece.alias("text"))
 
 
 class Model:
@@ -188,7 +205,7 @@ def _predict(shared, fields):
         model = shared.value
         for batch in batches:
             texts = batch.column("__text").to_pylist()
-            known = [t is not None and _LETTER.search(t) is not None for t in texts]
+            known = batch.column("__letter").to_pylist()
             lang, score, per_byte = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
             rows = [i for i, k in enumerate(known) if k] if model.langs else []
             if rows:
@@ -216,7 +233,8 @@ def predict(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     short_batches(spark)
     added = T._parse_datatype_string(_ADDED).fields
     columns = [c for c in columns if c not in {f.name for f in added}]
-    rows = docs.select(*columns, F.col("text").alias("__text"), F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("__held"))
+    rows = docs.select(*columns, F.col("text").alias("__text"), F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("__held"),
+                       F.coalesce(F.col("text").rlike(_LETTER), F.lit(False)).alias("__letter"))
     schema = T.StructType([docs.schema[c] for c in columns] + added)
     return rows.mapInArrow(_predict(spark.sparkContext.broadcast(model), columns), schema)
 
@@ -226,11 +244,15 @@ def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: those without letters, or that no language codes below 8 bits a byte, go."""
-    return predict(docs, fit(docs), docs.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") < 8)).select(*docs.columns)
+    """Documents in a known language, with all their columns as they are.
 
-
-def probe(spark, sf, rows):
-    truth = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
-    held = [r for r in rows if r[1]]
-    print("held out accuracy", sum(truth[r[0]] == r[2] for r in held) / len(held), len(held))
+    Those without letters, or that no language codes below 8 bits a byte, go.
+    A table from which no language can be learned says nothing about its
+    documents: all of them stay.
+    """
+    model = fit(docs)
+    if not model.langs:
+        return docs
+    # The row travels whole in one column, so that no column of the caller meets one of the operator.
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    return predict(rows, model, ["__row"]).where((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") < 8)).select("__row.*")

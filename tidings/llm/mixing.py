@@ -103,8 +103,10 @@ def slots(mixed: DataFrame, block_rows: int = 500_000) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed and shuffled documents, with the columns of ``docs``."""
-    return shuffled(mix(docs)).select(*docs.columns)
+    """The mixed and shuffled documents, with the columns of ``docs`` as they are."""
+    # The row travels whole in one column, so that no column of the caller meets one of the operator.
+    rows = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    return shuffled(mix(rows).select("doc_id", "mix_key", "copy_no", "__row")).select("__row.*")
 
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
