@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import clustering as CL
 from ..operators import features as FE
 from ..operators.features import token_features
+from ..operators.merge_fold import merge_fold, merged_records, tombstones
 from . import standins as S
 from .registry import query
 
@@ -127,16 +128,24 @@ def status_protect_q(spark, sf_dir):
     return j.select("j", "i", action.alias("action"))
 
 
+def folded(spark, sf_dir):
+    """C10 + C12: clusters, members and the exact fold with keywords that change and editor protection."""
+    m, c = members(spark, sf_dir), clusters(spark, sf_dir)
+    words = (m.select("cluster_id", "pos", F.posexplode("title_words").alias("at", "word")).groupBy("cluster_id", "word")
+             .agg(F.count("*").alias("cnt"), F.min(F.struct("pos", "at")).alias("first")))
+    return m, c, merge_fold(c, words, status(spark, sf_dir))
+
+
 @query("merge_clusters")
 def merge_clusters_q(spark, sf_dir):
-    """C10 + C12 (scalable variant): first-fit merge with editor protection."""
-    return CL.merge_clusters(clusters(spark, sf_dir), status(spark, sf_dir))
+    """C10 + C12: who joined whom, and the keywords and id after all merges."""
+    return folded(spark, sf_dir)[2].withColumn("keywords", F.array_join("keywords", ","))
 
 
 @query("tombstones")
 def tombstones_q(spark, sf_dir):
-    """Delete rows for merged clusters."""
-    return CL.tombstones(CL.merge_clusters(clusters(spark, sf_dir), status(spark, sf_dir)))
+    """Delete rows for the ids that merges free."""
+    return tombstones(folded(spark, sf_dir)[2])
 
 
 @query("cluster_members", f"WITH {CLUSTERS_SQL} SELECT cluster_id, id AS member_id, pos FROM members")
@@ -171,13 +180,10 @@ def cluster_upsert_q(spark, sf_dir):
 
 @query("merged_clusters")
 def merged_clusters_q(spark, sf_dir):
-    """C11: cluster attributes after the keyword merge (recomputed from the
-    merged membership)."""
-    c = clusters(spark, sf_dir)
-    m = CL.merge_clusters(c, status(spark, sf_dir))
-    out = CL.merged_attributes(members(spark, sf_dir), m, c)
-    return out.select("cluster_id", "id", "size", F.array_join("keywords", ",").alias("keywords"), "title",
-                      "publish_time", "min_publishtime", "max_publishtime")
+    """C11: cluster attributes after the keyword merge."""
+    m, c, fold = folded(spark, sf_dir)
+    return merged_records(m, c, fold).withColumn("keywords", F.array_join("keywords", ",")).select(
+        "cluster_id", "id", "size", "keywords", "title", "publish_time", "min_publishtime", "max_publishtime")
 
 
 @query("cluster_report")
