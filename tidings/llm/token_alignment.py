@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -38,9 +39,13 @@ RIGHT = "piece_bpe_32k.model"
 BLOCK_BYTES = 8 << 20
 RUN_BYTES = 1 << 20
 PRODUCTS = 1 << 20
+#: Words (with other than Latin signs) whose left ids a task keeps; beyond that it begins anew.
+KNOWN_WORDS = 300_000
 
 #: A space between printable ASCII characters begins a word of the left tokenizer, whatever stands around it.
 _SPACE = re.compile(r"(?<=[!-~]) (?=[!-~])")
+#: Beyond the Latin blocks that all Unicode versions of the last twenty years class alike.
+_OTHER = re.compile("[^\x00-\u024f]")
 
 
 class Csr(NamedTuple):
@@ -116,19 +121,54 @@ class Tables:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(len(self.b)))]
         self.a_size, self.b_size = (np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.a_spelled, self.b_spelled = (np.array(table, object) for table in (self.a_bytes, self.b_bytes))
+        self.ranked = self._ranked(left)
         # Every id's name followed by each sign that can come after it.
         self.na, self.nb = len(self.a_bytes), len(self.b_bytes)
         self.names = np.array([f"{i}{sign}".encode() for n, signs in ((self.na, ",|"), (self.nb, ",;")) for sign in signs for i in range(n)], object)
 
-    def encode(self, texts: list[str], known: dict[str, list[int]]) -> tuple[list[list[int]], list[list[int]]]:
+    def _ranked(self, left: str):
+        """The left vocabulary as ranks, for words of Latin signs; None if its ids do not follow its merges.
+
+        The libraries know different Unicode versions, in which the Latin signs are the same.
+        """
+        import json
+
+        import public_tokenizers
+        import tiktoken
+        with open(model_path(left), encoding="utf-8") as f:
+            made = json.load(f)
+        vocab, merges = made["model"]["vocab"], made["model"]["merges"]
+        ids = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        added = {t["id"] for t in made["added_tokens"]}
+        if ids != list(range(256, 256 + len(ids))) or made["pre_tokenizer"]["type"] != "ByteLevel":
+            return None
+        ranks = {t: i for i, t in enumerate(self.a_bytes) if i not in added}
+        return tiktoken.Encoding("left", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def left_ids(self, text: str, known: dict[str, bytes]) -> np.ndarray:
+        if self.ranked is not None and _OTHER.search(text) is None:
+            return self.ranked.encode_to_numpy(" " + text, disallowed_special=())
+        parts = []
+        for plain, words in groupby(_SPACE.split(text), lambda w: _OTHER.search(w) is None):
+            if plain and self.ranked is not None:
+                parts.append(self.ranked.encode_to_numpy(" " + " ".join(words), disallowed_special=()).tobytes())
+            else:
+                parts += [known[w] for w in words]
+        return np.frombuffer(b"".join(parts), "<u4")
+
+    def encode(self, texts: list[str], known: dict[str, bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of space+text and of text; ``known`` keeps the left ids of words already met."""
-        words = [_SPACE.split(t) for t in texts]
-        fresh = list({w for part in words for w in part if w not in known})
+        fresh = list({w for t in texts if self.ranked is None or _OTHER.search(t) for w in _SPACE.split(t)
+                      if w not in known and (self.ranked is None or _OTHER.search(w))})
         for at in range(0, len(fresh), 1024):
             part = fresh[at:at + 1024]
-            for w, e in zip(part, self.a.encode_batch([" " + w for w in part], add_special_tokens=False)):
-                known[w] = e.ids
-        return [[i for w in part for i in known[w]] for part in words], self.b.encode(texts, num_threads=1)
+            for w, e in zip(part, self.a.encode_batch_fast([" " + w for w in part], add_special_tokens=False)):
+                known[w] = np.array(e.ids, "<u4").tobytes()
+        return [self.left_ids(t, known) for t in texts], [np.array(ids, np.int64) for ids in self.b.encode(texts, num_threads=1)]
+
+    def spells(self, ids: np.ndarray, table: np.ndarray, text: bytes) -> bool:
+        return b"".join(table[ids].tolist()) == text
 
 
 @cache
@@ -148,12 +188,11 @@ class Run(NamedTuple):
     links: np.ndarray
 
 
-def align_tokens(table: Tables, a_docs: list[list[int]], b_docs: list[list[int]], products: int = PRODUCTS) -> Run:
+def align_tokens(table: Tables, a_docs: list[np.ndarray], b_docs: list[np.ndarray], products: int = PRODUCTS) -> Run:
     """Align documents whose two token lists spell the same bytes (both may be empty)."""
     docs = len(a_docs)
     n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a_docs, b_docs))
-    a = np.fromiter((i for x in a_docs for i in x), np.int64, n_a.sum())
-    b = np.fromiter((i for x in b_docs for i in x), np.int64, n_b.sum())
+    a, b = (np.concatenate([np.zeros(0, np.int64), *side]).astype(np.int64) for side in (a_docs, b_docs))
     a_end, b_end = np.cumsum(table.a_size[a]), np.cumsum(table.b_size[b])
     size = int(a_end[-1]) if len(a) else 0
     ones = np.ones(size, np.int64)
@@ -201,11 +240,14 @@ def _align(left: str, right: str, block_bytes: int, run_bytes: int, id_type: pa.
         block, size, known, done = TaskContext.get().partitionId() << 32, 0, {}, []
 
         def one(texts: list[str]) -> Run:
+            nonlocal known
+            if len(known) > KNOWN_WORDS:
+                known = {}
             a_docs, b_docs = table.encode(texts, known)
             for k, text in enumerate(texts):
                 spelled = b" " + text.encode()
-                if not text or b"".join([table.a_bytes[x] for x in a_docs[k]]) != spelled or b"".join([table.b_bytes[x] for x in b_docs[k]]) != spelled:
-                    a_docs[k], b_docs[k] = [], []
+                if not text or not table.spells(b_docs[k], table.b_spelled, spelled) or not table.spells(a_docs[k], table.a_spelled, spelled):
+                    a_docs[k], b_docs[k] = np.zeros(0, np.int64), np.zeros(0, np.int64)
             return align_tokens(table, a_docs, b_docs)
 
         def close() -> Iterator[pa.RecordBatch]:
@@ -242,7 +284,7 @@ def _align(left: str, right: str, block_bytes: int, run_bytes: int, id_type: pa.
                 size += taken
                 if size >= block_bytes:
                     yield from close()
-                    block, size, known, done = block + 1, 0, {}, []
+                    block, size, done = block + 1, 0, []
                 at = end
         if done:
             yield from close()
