@@ -94,7 +94,9 @@ class Config:
     paragraph_sep_crawl: str = PARAGRAPH_SEP_CRAWL
     paragraph_sep_other: str = PARAGRAPH_SEP_OTHER
     crawl_source: str = "CRAWL"
+    paragraph_features: tuple[str, ...] = DATELINE_FEATURES
     chunk_pairs: tuple[tuple[str, str], ...] = CHUNK_PAIRS
+    merge_chunk_pairs: tuple[tuple[str, str], ...] = CHUNK_PAIRS
     clean_chunk_types: tuple[str, ...] = CLEAN_CHUNK_TYPES
     ner_natures: tuple[str, ...] = NER_NATURES
     title_filter_terms: tuple[str, ...] = ()

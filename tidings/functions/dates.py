@@ -77,9 +77,9 @@ def tmp_patterns() -> list[str]:
 
 
 def first_hit(s: Column, patterns) -> Column:
-    """The first pattern's (in list order) leftmost match, or NULL."""
-    hits = F.array(*[F.regexp_extract(s, p, 0) for p in patterns])
-    return F.try_element_at(F.filter(hits, lambda h: h != ""), F.lit(1))
+    """The first pattern's (in list order) leftmost match, or NULL; no pattern after the first hit is tried."""
+    hits = [F.regexp_extract(s, p, 0) for p in patterns]
+    return F.coalesce(*[F.when(h != "", h) for h in hits])
 
 
 def split_range(chunk: Column) -> Column:

@@ -121,8 +121,8 @@ def semantic_clean(c: Column, features=C.DATELINE_FEATURES, pairs=C.CHUNK_PAIRS,
 
 
 def title_segments(c: Column) -> Column:
-    """Title clauses: strip, split at single spaces (empty pieces kept as in ``str.split(' ')``)."""
-    return F.split(py_strip(c), " ")
+    """Title clauses: strip, split at single spaces, pieces without any sign dropped."""
+    return F.filter(F.split(py_strip(c), " "), lambda x: F.length(remove_whitespace(x)) > 0)
 
 
 def remove_whitespace(c: Column) -> Column:

@@ -123,6 +123,18 @@ def cluster_score(members: DataFrame, vec_col: str, dim: int, cluster_col: str =
                       F.when(n == 1, F.lit(1.0)).otherwise((sq - n) / (n * n - n)).alias("score"))
 
 
+def score_filter(clusters: DataFrame, threshold: float, retained: Column | None = None, score_col: str = "score") -> DataFrame:
+    """Clusters with a score of ``threshold`` at least; retained ones stay whatever their score (v1: 0.5, v2: 0)."""
+    good = F.coalesce(F.col(score_col) >= threshold, F.lit(False))
+    return clusters.where(good if retained is None else good | F.coalesce(retained, F.lit(False)))
+
+
+def by_size(clusters: DataFrame, size_col: str = "size", pos_col: str = "first_pos", name: str = "ord") -> DataFrame:
+    """``clusters`` with their place by falling size, equal ones in their given order."""
+    from .moving_means import ordered_index
+    return ordered_index(clusters.withColumn("_order", F.struct((-F.col(size_col)).alias("s"), F.col(pos_col).alias("p"))), "_order", name).drop("_order")
+
+
 def merge_predicate(tov: Column, cov: Column, t: Column, c: Column, rules=C.MERGE_RULES) -> Column:
     """First true of the keyword-overlap rules; ``t``/``c`` are the later
     cluster's title / content keyword counts (directional, floors may be 0)."""

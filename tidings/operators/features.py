@@ -55,6 +55,12 @@ def token_features_v1(df: DataFrame, title_seg: str = "seg_title", content_seg:
     return df.withColumn("ners", F.concat(c_ner, t_ner)).withColumn("words", words)
 
 
+def tagged_entities(words: Column, netags: Column) -> Column:
+    """F3 (draft features): the tokens whose entity tag is not ``O``, in order."""
+    both = F.filter(F.arrays_zip(words.alias("w"), netags.alias("n")), lambda x: x["n"] != "O")
+    return F.transform(both, lambda x: x["w"])
+
+
 def token_offsets(df: DataFrame, id_col: str, seg_col: str) -> DataFrame:
     """(id, idx, word, offset): offset = total length of the preceding words.
 

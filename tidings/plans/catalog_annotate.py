@@ -14,21 +14,20 @@ from pyspark import StorageLevel
 
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..operators import annotate as A
+from ..operators import articles as AR
+from . import catalog_text as CT
 from . import standins as S
 from .registry import query
 
 KEYS = ["doc_id", "s_idx"]
 
 
-def parsed(spark, sf_dir):
-    d = S.table(spark, sf_dir, "documents")
-    s = d.select("doc_id", F.posexplode(F.split("text", "\\.")).alias("s_idx", "sentence"))
-    s = s.withColumn("seg", S.seg(F.col("sentence"))).where(F.size("seg") > 0)
+def parse(s):
+    """The stand-in parse: arcs and entity tags for words and postags of a sentence."""
     raw = F.regexp_extract_all("sentence", F.lit("[A-Za-z]+"), 0)
-    s = (s.withColumn("words", F.transform("seg", lambda t: t["word"]))
-          .withColumn("postags", F.transform("seg", lambda t: t["nature"]))
-          .withColumn("_vpos", F.array_position("postags", "v"))
+    s = (s.withColumn("_vpos", F.array_position("postags", "v"))
           .withColumn("_root", F.when(F.col("_vpos") > 0, F.col("_vpos") - 1).otherwise(0).cast("int")))
     r = F.col("_root")
 
@@ -41,9 +40,16 @@ def parsed(spark, sf_dir):
                 .otherwise(F.when(i == r + 1, "VOB").when(p == "v", "COO").otherwise("ATT")))
         return F.struct(head.cast("int").alias("head"), rel.alias("rel"))
 
-    s = s.withColumn("arcs", F.transform("postags", arc)).withColumn(
+    return s.withColumn("arcs", F.transform("postags", arc)).withColumn(
         "netags", F.transform(raw, lambda x: F.when(x.rlike("^[A-Z]"), F.when(F.length(x) <= 5, "S-Nh").otherwise("S-Ni"))
-                                              .otherwise("O")))
+                                              .otherwise("O"))).drop("_vpos", "_root")
+
+
+def parsed(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents")
+    s = d.select("doc_id", F.posexplode(F.split("text", "\\.")).alias("s_idx", "sentence"))
+    s = s.withColumn("seg", S.seg(F.col("sentence"))).where(F.size("seg") > 0)
+    s = parse(s.withColumn("words", F.transform("seg", lambda t: t["word"])).withColumn("postags", F.transform("seg", lambda t: t["nature"])))
     return s.select("doc_id", F.col("s_idx").cast("int").alias("s_idx"), "words", "postags", "arcs", "netags")
 
 
@@ -192,3 +198,50 @@ def chunk_token_merge_q(spark, sf_dir):
         "ch", F.transform(chunk_offsets(F.col("sentence")), lambda c: F.struct(c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end"))))
     m = s.select("doc_id", "s_idx", A.merge_chunk_tokens(F.col("seg"), F.col("ch")).alias("toks"))
     return m.select("doc_id", "s_idx", F.posexplode("toks").alias("k", "t")).select("doc_id", "s_idx", "k", "t.word", "t.nature", "t.offset")
+
+
+# ---- whole articles (X9): pages as articles, every paragraph rule with Latin words ----------
+
+PAGE_RULES = C.Config(paragraph_features=CT.LAT_RPT, paragraph_date_regex=CT.LAT_TMP_REGEX, paragraph_date_words=CT.LAT_DATE_WORDS,
+                      dateline_features=CT.LAT_DATELINE, merge_chunk_pairs=(), sentence_mark=".", sentence_soft_marks=";,", sentence_strip_ws=False)
+
+
+def page_articles(spark, sf_dir):
+    return CT.pages(spark, sf_dir).withColumn("title", F.lit("Two words")).withColumn("publishAt", F.lit(S.BASE_MS) + F.col("id") * 60000)
+
+
+def annotated_pages(spark, sf_dir):
+    return AR.annotate(page_articles(spark, sf_dir), lambda d: d.withColumn("seg", S.seg(F.col("sentence"))), parse, PAGE_RULES)
+
+
+DESCRIBED_SQL = f"""{CT.PARAS_SQL},
+kinds AS (SELECT id, p_pos, text, {CT.KIND_SQL} AS kind FROM paras),
+told AS (
+  SELECT id, text FROM (SELECT id, text, row_number() OVER (PARTITION BY id ORDER BY CASE WHEN kind = 'RPT' THEN 0 ELSE 1 END, p_pos) AS rn
+                        FROM kinds WHERE kind <> '') WHERE rn = 1),
+cleaned AS (SELECT id, {CT._clean_sql('c')} AS text FROM (SELECT id, {CT._dateline_sql('text', CT.LAT_DATELINE)} AS c FROM told)),
+sent AS (
+  SELECT id AS doc_id, sentence, s_idx, row_number() OVER (PARTITION BY id ORDER BY s_idx) - 1 AS at FROM (
+    SELECT id, unnest(l) AS sentence, generate_subscripts(l, 1) - 1 AS s_idx
+    FROM (SELECT id, string_split(translate(text, ';,', '..'), '.') AS l FROM cleaned))
+  WHERE length(sentence) > 0 AND length(sentence) < 500)"""
+
+
+@query("annotate", f"""WITH {DESCRIBED_SQL},
+{PARSE_SQL[PARSE_SQL.index("seg AS ("):]}{ISLANDS_SQL},
+root AS (SELECT doc_id, s_idx, r, words, len(words) AS n FROM p1 WHERE postags[r + 1] = 'v'),
+run AS (SELECT t.doc_id, t.s_idx, string_agg(t.word, '' ORDER BY t.idx DESC) AS obj
+        FROM tok t WHERE t.idx > t.r AND NOT EXISTS (
+          SELECT 1 FROM tok u WHERE u.doc_id = t.doc_id AND u.s_idx = t.s_idx AND u.postag = 'v'
+          AND u.idx > u.r + 1 AND u.idx <= t.idx) GROUP BY 1, 2),
+names AS (SELECT doc_id, s_idx, string_agg(name, ' ' ORDER BY start) AS ners FROM chunks GROUP BY 1, 2),
+times AS (SELECT page_id AS doc_id, {S.BASE_MS} + page_id * 60000 AS ms FROM pages)
+SELECT s.doc_id AS id, s.at, s.sentence,
+       array_to_string(q.words[1:q.r], '') AS sub, q.words[q.r + 1] AS verb, coalesce(run.obj, '') AS obj,
+       coalesce(names.ners, '') AS ners, times.ms AS tmp_ms, times.ms AS rpt_ms
+FROM sent s JOIN root q USING (doc_id, s_idx) JOIN times USING (doc_id)
+LEFT JOIN run USING (doc_id, s_idx) LEFT JOIN names USING (doc_id, s_idx) WHERE q.n > 1""")
+def annotate_q(spark, sf_dir):
+    """Pages read as articles in one pass, then the triples of their descriptions with core verbs."""
+    rows = AR.triple_rows(annotated_pages(spark, sf_dir)).where("core")
+    return rows.select("id", "at", "sentence", "sub", "verb", "obj", F.array_join("ners", " ").alias("ners"), "tmp_ms", "rpt_ms")

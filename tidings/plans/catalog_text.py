@@ -195,7 +195,7 @@ def sentences_q(spark, sf_dir):
 
 @query("title_segments", f"""WITH {S.ARTICLES_SQL}
 SELECT id, unnest(l) AS segment, generate_subscripts(l, 1) - 1 AS seg_idx
-FROM (SELECT id, string_split({STRIP_SQL.format(x='title')}, ' ') AS l FROM articles)""")
+FROM (SELECT id, list_filter(string_split({STRIP_SQL.format(x='title')}, ' '), lambda x: {STRIP_SQL.format(x='x')} <> '') AS l FROM articles)""")
 def title_segments_q(spark, sf_dir):
     a = S.articles(spark, sf_dir)
     return a.select("id", F.posexplode(T.title_segments(F.col("title"))).alias("seg_idx", "segment"))

@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every catalog module so their queries register."""
-    from . import catalog_sources, catalog_text, catalog_clusters, catalog_features, catalog_events, catalog_vectors, catalog_merge, catalog_stream, catalog_dates, catalog_annotate  # noqa: F401
+    from . import catalog_sources, catalog_text, catalog_clusters, catalog_features, catalog_events, catalog_vectors, catalog_merge, catalog_stream, catalog_dates, catalog_annotate, catalog_small  # noqa: F401

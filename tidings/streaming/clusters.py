@@ -72,9 +72,8 @@ def attributes(members: DataFrame, words_col: str = "title_words") -> DataFrame:
     """C4, C6a, C7, C8 of all clusters: record, title keywords, title, and ``ord``, the order by falling size (then first member)."""
     named = members.withColumnRenamed("cluster", "cluster_id")
     kw = CL.title_keywords(named, words_col)
-    found = (CL.cluster_record(named).join(kw, "cluster_id", "left").join(CL.title_pick(named, kw, words_col), "cluster_id")
-             .withColumn("_order", F.struct((-F.col("size")).alias("s"), F.col("first_pos").alias("p"))))
-    return ordered_index(found, "_order", "ord").drop("_order").withColumnRenamed("cluster_id", "cluster")
+    found = CL.cluster_record(named).join(kw, "cluster_id", "left").join(CL.title_pick(named, kw, words_col), "cluster_id")
+    return CL.by_size(found).withColumnRenamed("cluster_id", "cluster")
 
 
 def run_batch(store: VersionedStore, batch_id: int, rows: DataFrame, assign: Assign, rules: LiveRules = LiveRules(),
