@@ -332,11 +332,28 @@ def test_field_decodes_exactly_and_generalises():
     def weight(path):
         return sum(e[i, s] for i, s in enumerate(path)) + sum(field.moves[a, b] for a, b in zip(path, path[1:])) + (secret_crf._NEVER if path[0] == secret_crf.I else 0)
     assert abs(weight(best) - max(map(weight, itertools.product(range(3), repeat=7)))) < 1e-9
-    # A secret that the patterns miss: the word before it is not a known one.
-    new = "the river and stone of, the token " + "0f" * 11 + "0 and the river stone"
-    spans = secret_crf.all_spans(new, new.encode(), secret_crf.field_spans(field, [new.encode()])[0])
-    assert not secret_crf.base_spans(new)
-    assert all(new[s:e].strip("0f") == "" for s, k, e in spans)
+
+
+def test_field_finds_secrets_that_the_patterns_miss():
+    """Held-out plants after phrases that are no assignment, in texts that are not those of training; clean texts stay clean."""
+    field, _ = trained_field()
+    rng = np.random.default_rng(99)
+    clean = [" ".join(str(w) for w in rng.choice(["river", "stone", "and", "the", "Walk", "12", "of,", "houses", "2024", "bridges."], 60)) for _ in range(150)]
+    found = wanted = extra = 0
+    for text in clean:
+        assert secret_crf.field_spans(field, [text.encode()]) == [[]]
+        full, places = secret_crf.planted(text)
+        assert not [x for x in secret_crf.base_spans(full) if x[1] == 0] and all(full[s:e].isascii() for s, e in places)
+        got = [(s, e) for s, k, e in secret_crf.all_spans(full, full.encode(), secret_crf.field_spans(field, [full.encode()])[0]) if k == 3]
+        missed = [p for p in places if all(p[1] <= s or p[0] >= e for s, _, e in secret_crf.base_spans(full))]
+        wanted += len(missed)
+        found += len(set(got) & set(missed))
+        extra += len(set(got) - set(missed))
+    assert wanted > 300 and found / wanted > 0.9 and extra / max(1, found) < 0.05
+    for text in ("password is Zx9kQ2LmP4tR7v", "credential: ghp_16C7e42F292c6912E7710c838347Ae178B4a"):
+        line = "the river and stone " + text + " the river and stone"
+        spans = [line[s:e] for s, k, e in secret_crf.all_spans(line, line.encode(), secret_crf.field_spans(field, [line.encode()])[0]) if k == 3]
+        assert spans == [text.split()[-1]]
 
 
 def test_token_cache(spark, edge_docs, edge_rows):

@@ -3,7 +3,10 @@
 The field tags every token of a line begin, inside or outside of a secret.
 Its features are the token's shape, its neighbours' words and shapes, and
 features of the file.  It is trained here, on a bounded sample of documents
-whose labels are the spans of the fixed patterns, and decoded by Viterbi.
+whose labels are the spans of the fixed patterns, and on the same documents
+with secrets planted into them that the patterns miss: random strings of
+several alphabets after phrases that are no assignments, and ordinary words
+after the same phrases as counterexamples.  It is decoded by Viterbi.
 
 A token is certainly outside in every best path when its margin for "outside"
 exceeds what the transitions around it could win back.  Certain tokens cut the
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,15 @@ _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: The training sample: documents with and without pattern spans, of so many bytes at most.
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 32_768
+#: What is planted into a training document: how often, phrases before it, alphabets and lengths.
+PLANTED = 3
+LEADS = ("password is", "credential:", "the key", "auth", "bearer", "login with", "pwd", "private key", "use", "")
+ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0123456789",
+             "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+PREFIXES = ("", "", "", "pat_", "sk-", "key_live_")
+PLANTED_LENGTHS = (12, 44)
+#: Candidates considered per document drawn.
+_MARGIN = 4
 #: Tokens around a span, or from a random place, that make a training line.
 WINDOW = 12
 EPOCHS, RATE, RIDGE = 80, 0.3, 1e-4
@@ -143,11 +156,43 @@ BASES = tuple(np.concatenate([[0], np.cumsum(_SIZES)])[:-1].tolist())
 TOTAL = sum(_SIZES)
 
 
+def planted(text: str, times: int = PLANTED) -> tuple[str, list[tuple[int, int]]]:
+    """``text`` with secrets and counterexamples put between its words, and the places of the secrets.
+
+    What is planted depends on the text alone.
+    """
+    gaps = [m.start() for m in re.finditer(r"(?<=[A-Za-z,.]) (?=[A-Za-z])", text)]
+    if not gaps:
+        return text, []
+    rng = np.random.default_rng(zlib.crc32(text.encode()))
+    words = [w for w in re.findall(r"[A-Za-z]{3,}", text[:4096])] or ["word"]
+    out, spans, at, length = [], [], 0, 0
+    for n, gap in enumerate(sorted({gaps[i] for i in rng.integers(0, len(gaps), 2 * times)})):
+        lead = LEADS[rng.integers(0, len(LEADS))]
+        value = words[rng.integers(0, len(words))]
+        if n % 2 == 0:
+            alphabet = ALPHABETS[rng.integers(0, len(ALPHABETS))]
+            size = int(rng.integers(*PLANTED_LENGTHS, endpoint=True))
+            if alphabet == ALPHABETS[0]:
+                # Longer runs are the hex pattern's.
+                size = min(size, 23)
+            prefix = PREFIXES[rng.integers(0, len(PREFIXES))] if alphabet != ALPHABETS[0] else ""
+            value = prefix + "".join(alphabet[i] for i in rng.integers(0, len(alphabet), size - 2)) + "7" + alphabet[-1 if alphabet[-1].isalnum() else 0]
+        piece = text[at:gap] + " " + (lead + " " if lead else "")
+        out.append(piece + value)
+        if n % 2 == 0:
+            spans.append((length + len(piece), length + len(piece) + len(value)))
+        length += len(piece) + len(value)
+        at = gap
+    return "".join(out) + text[at:], spans
+
+
 def training_lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers [lines, WINDOW * 2, FEATURES] and labels: around every labelled secret, and at even places elsewhere."""
     rows, labels = [], []
     width = 2 * WINDOW
-    for text in texts:
+    more = [planted(t) for t in texts]
+    for text, secrets in [*((t, secret_parts(t)) for t in texts), *((t, sorted([*secret_parts(t), *added])) for t, added in more if added)]:
         data = text.encode()
         tokens = Tokens([data])
         n = len(tokens.start)
@@ -155,7 +200,7 @@ def training_lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             continue
         y = np.full(n, O)
         centres = list(range(WINDOW, n - WINDOW + 1, max(width, n // 4)))
-        for s, e in secret_parts(text):
+        for s, e in secrets:
             a, b = len(text[:s].encode()), len(text[:e].encode())
             inside = np.flatnonzero((tokens.start < b) & (tokens.end > a))
             if len(inside):
@@ -338,13 +383,20 @@ def _scan(shared):
 
 
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Texts to learn from: the first by a hash, with and without something like a pattern span."""
-    likely = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}"""
+    """Texts to learn from: the first by a hash, with and without something like a pattern span.
+
+    Only hashes below a threshold are ranked: some ``_MARGIN`` times as many
+    rows as are drawn, whatever the size of the table, and the smallest always.
+    """
+    likely = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
     usable = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES) & F.col("doc_id").isNotNull())
+    keyed = usable.select("doc_id", "text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("h"))
+    keys = staged(keyed.select("doc_id", "h", F.col("text").rlike(likely).alias("hit")), "secret_keys")
+    reach = keys.groupBy(F.col("hit").alias("r_hit")).agg(F.min("h").alias("least"), F.count("*").alias("n")).select(
+        "r_hit", "least", (F.least(F.lit(1.0), F.lit(float(_MARGIN * sample_docs)) / F.col("n")) * float(2**63 - 1024)).cast("long").alias("reach"))
     order = Window.partitionBy("hit").orderBy("h", "doc_id")
-    ids = staged(usable.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").rlike(likely).alias("hit"))
-                 .withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs).select("doc_id", "h").distinct(), "secret_sample")
-    keyed = usable.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    ids = staged(keys.join(reach, F.col("hit") == F.col("r_hit")).where("h <= reach OR h = least").select("doc_id", "h", "hit").distinct()
+                 .withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample_docs).select("doc_id", "h"), "secret_sample")
     return keyed.join(ids, ["doc_id", "h"], "left_semi").select("h", "text")
 
 
@@ -380,10 +432,3 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
 
 def query(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return scan(docs, fit(docs))
-
-
-def probe(spark, sf, rows):
-    texts = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
-    print("base", sum(r[1] for r in rows), sum(r[2] for r in rows), sum(r[3] for r in rows))
-    extra = [(r[0], s) for r in rows for s in r[5].split(",") if s.startswith("crf")]
-    print("crf spans", len(extra), [texts[d][int(s.split(":")[1]) - 15:int(s.split(":")[2]) + 5] for d, s in extra[:25]])
