@@ -2,12 +2,14 @@
 
 A word is one match of the splitting pattern.  Documents are split block by
 block; a block writes every document as numbers into its own list of distinct
-words.  Of all blocks' lists each distinct word of the corpus is taken once.
-A task puts its words side by side in one symbol sequence and keeps an
-inverted index from token pair to the positions that hold it.  Pairs are taken
-in rank order; a merge touches the two neighbours of its position and nothing
-else.  The ids go back to the blocks by a join on the word, and each block
-spells out its documents.
+words.  The entries of all lists (a word has one per block, however common it
+is) are dealt out by a checksum of the word, packed, so that the equal words
+of all blocks meet and each distinct word of the corpus is replayed once.  A
+task puts its words side by side in one symbol sequence and keeps an inverted
+index from token pair to the positions that hold it.  Pairs are taken in rank
+order; a merge touches the two neighbours of its position and nothing else.
+The ids go back to the blocks, whose documents lie in a table bucketed by
+block and do not move again.
 
 Pairs that spell the same token have the same rank and share an index entry.
 Inside a word the order of merges is the library's: lowest rank first, then
@@ -19,6 +21,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import uuid
+import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
@@ -29,13 +33,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import short_batches, staged
+from .common import short_batches
 from .token_cache import content, model_path
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: UTF-8 bytes of the documents of a block (one longer document is a block of its own), and of the words replayed at once.
+#: UTF-8 bytes of the documents of a block (one longer document is a block of its own), and bytes of the entries replayed at once.
 BLOCK_BYTES = 16 << 20
-REPLAY_BYTES = 1 << 20
+REPLAY_BYTES = 4 << 20
 _SLICE = 1 << 20
 
 
@@ -176,23 +180,34 @@ def replay(words: list[bytes], ranks: str = RANKS) -> tuple[np.ndarray, np.ndarr
     return ids, counts
 
 
-def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """One binary of little-endian unsigned 32-bit integers per count."""
-    offsets = np.concatenate([[0], np.cumsum(counts * 4)]).astype(np.int64)
-    data = np.ascontiguousarray(values, "<u4")
-    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers as four byte planes, of which the high ones compress to nearly nothing."""
+    return np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _split(block_bytes: int, id_type: pa.DataType):
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+_BLOCK = ["block", "doc_id", "refs", "part", "places", "sizes", "words"]
+
+
+def _split(block_bytes: int, parts: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         find = splitter()
         block, size, place = TaskContext.get().partitionId() << 32, 0, {}
-        names = ["block", "doc_id", "refs", "words"]
 
-        def close():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([list(place)], pa.list_(pa.string()))], names)
+        def close() -> Iterator[pa.RecordBatch]:
+            words = [w.encode() for w in place]
+            part = np.array([zlib.crc32(w) % parts for w in words], np.int64)
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+            for u, v in zip(cuts.tolist(), [*cuts[1:].tolist(), len(words)]):
+                own = order[u:v]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([int(part[own[0]])], pa.int32()), pa.array([packed(own)], pa.binary()),
+                     pa.array([packed(np.array([len(words[i]) for i in own]))], pa.binary()), pa.array([b"".join([words[i] for i in own])], pa.binary())], _BLOCK)
 
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
@@ -201,52 +216,64 @@ def _split(block_bytes: int, id_type: pa.DataType):
                 end, rows = at, []
                 while end < batch.num_rows and (end == at or size < block_bytes) and end - at < 256:
                     text = texts[end].as_py()
-                    rows.append(np.array([place.setdefault(w, len(place)) for w in find(text)], "<u4").tobytes())
+                    rows.append(packed(np.array([place.setdefault(w, len(place)) for w in find(text)])))
                     size += len(text.encode())
                     end += 1
-                count = end - at
+                n = end - at
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * count, pa.int64()), ids.slice(at, count), pa.array(rows, pa.binary()), pa.nulls(count, pa.list_(pa.string()))], names)
+                    [pa.array([block] * n, pa.int64()), ids.slice(at, n), pa.array(rows, pa.binary()), pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary()) for _ in range(3)]], _BLOCK)
                 if size >= block_bytes:
-                    yield close()
+                    yield from close()
                     block, size, place = block + 1, 0, {}
                 at = end
-        if place:
-            yield close()
+        yield from close()
     return run
 
 
 def _replay(ranks: str, replay_bytes: int):
+    """Packed entries of blocks, sorted by part: the ids of their words, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, size = [], 0
-
-        def done():
-            ids, counts = replay([w.encode() for w in words], ranks)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), binaries(ids, counts)], ["word", "ids"])
+        number: dict[bytes, int] = {}
+        rows: list[tuple] = []
+        size, last = 0, None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            ids, counts = replay(list(number), ranks)
+            begin = np.cumsum(counts) - counts
+            for block, places, words in rows:
+                n = counts[words]
+                inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block], pa.int64()), pa.array([places], pa.binary()), pa.array([packed(n)], pa.binary()),
+                     pa.array([packed(ids[np.repeat(begin[words], n) + inside])], pa.binary())], ["in_block", "places", "counts", "ids"])
 
         for batch in batches:
-            for word in batch.column("word").to_pylist():
-                words.append(word)
-                size += len(word)
-                if size >= replay_bytes:
-                    yield done()
-                    words, size = [], 0
-        if words:
-            yield done()
+            for part, block, places, sizes, words in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "places", "sizes", "words"))):
+                # Equal words share a part: a new one begins when the part changes and enough has come together.
+                if size >= replay_bytes and part != last or size >= 4 * replay_bytes:
+                    yield from done()
+                    number, rows, size = {}, [], 0
+                last = part
+                ends = np.cumsum(unpacked(sizes), dtype=np.int64).tolist()
+                known = len(number)
+                rows.append((block, places, np.array([number.setdefault(words[u:v], len(number)) for u, v in zip([0, *ends], ends)], np.int64)))
+                size += len(places) + (len(words) if len(number) > known else 0)
+        if rows:
+            yield from done()
     return run
 
 
 def _spell():
     """Documents of one block: their word numbers become ids."""
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        local = words.column("local").to_numpy()
-        of_word = [b""] * len(local)
-        for place, ids in zip(local.tolist(), words.column("ids").to_pylist()):
-            of_word[place] = ids
-        table = np.array(of_word, object) if of_word else np.zeros(0, object)
+        of_word: dict[int, bytes] = {}
+        for places, counts, ids in zip(*(words.column(c).to_pylist() for c in ("places", "counts", "ids"))):
+            data, ends = unpacked(ids).tobytes(), (4 * np.cumsum(unpacked(counts), dtype=np.int64)).tolist()
+            of_word.update(zip(unpacked(places).tolist(), [data[u:v] for u, v in zip([0, *ends], ends)]))
+        table = np.array([of_word[i] for i in range(len(of_word))], object)
         out = []
         for refs in docs.column("refs").to_pylist():
-            refs = np.frombuffer(refs, "<u4")
+            refs = unpacked(refs)
             out.append(b"".join(b"".join(table[refs[a:a + _SLICE]]) for a in range(0, len(refs), _SLICE)))
         return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.array(out, pa.binary())})
     return run
@@ -264,15 +291,17 @@ def encode(docs: DataFrame, ranks: str = RANKS, block_bytes: int = BLOCK_BYTES,
     short_batches(spark)
     id_type = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
-    blocks_schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("doc_id", id_type),
-                                  T.StructField("refs", T.BinaryType()), T.StructField("words", T.ArrayType(T.StringType()))])
     arrow_id = to_arrow_type(id_type)
-    blocks = staged(docs.select("doc_id", content(F.col("text")).alias("text")).mapInArrow(_split(block_bytes, arrow_id), blocks_schema), "replay_blocks")
-    entries = blocks.where("words IS NOT NULL").select("block", F.posexplode("words").alias("local", "word"))
-    # A word of all blocks has one row per block here, and one row in the corpus's list.
-    codes = staged(entries.select("word").distinct().mapInArrow(_replay(ranks, replay_bytes), "word string, ids binary"), "replay_words")
-    coded = entries.join(codes, "word").select(F.col("block").alias("in_block"), "local", "ids")
-    return (blocks.where("refs IS NOT NULL").select("block", "doc_id", "refs").groupBy("block").cogroup(coded.groupBy("in_block"))
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("doc_id", id_type), T.StructField("refs", T.BinaryType()), T.StructField("part", T.IntegerType()),
+                           *[T.StructField(c, T.BinaryType()) for c in ("places", "sizes", "words")]])
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = docs.select("doc_id", content(F.col("text")).alias("text")).mapInArrow(_split(block_bytes, 4 * buckets, arrow_id), schema)
+    table = f"replay_blocks_{uuid.uuid4().hex}"
+    made.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "block").saveAsTable(table)
+    blocks = spark.table(table)
+    coded = (blocks.where("part IS NOT NULL").select("part", "block", "places", "sizes", "words").repartition("part").sortWithinPartitions("part")
+             .mapInArrow(_replay(ranks, replay_bytes), "in_block long, places binary, counts binary, ids binary"))
+    return (blocks.where("part IS NULL").select("block", "doc_id", "refs").groupBy("block").cogroup(coded.groupBy("in_block"))
             .applyInArrow(_spell(), T.StructType([T.StructField("doc_id", id_type), T.StructField("ids", T.BinaryType())])))
 
 
