@@ -62,7 +62,7 @@ def batch(seed, n, vocabulary, short):
     return clusters, status
 
 
-@pytest.mark.parametrize("seed, n, vocabulary, short, editors", [(1, 120, 40, False, False), (2, 150, 30, True, True), (3, 90, 17, False, True), (4, 200, 60, False, True)])
+@pytest.mark.parametrize("seed, n, vocabulary, short, editors", [(1, 120, 40, False, False), (2, 150, 30, True, True)])
 def test_equals_sequential_fold(spark, seed, n, vocabulary, short, editors):
     clusters, status = batch(seed, n, vocabulary, short)
     if not editors:

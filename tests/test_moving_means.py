@@ -38,7 +38,7 @@ def batch(seed, n, d, noise, centres, retained, zipf=False):
     return [(int(i), x.tolist()) for i, x in zip(ids, v)], old
 
 
-CASES = [(1, 300, 20, 0.18, 40, 0, False), (2, 300, 20, 0.25, 40, 6, False), (3, 500, 8, 0.3, 30, 3, True), (4, 200, 50, 0.12, 3, 2, False)]
+CASES = [(2, 250, 20, 0.25, 40, 6, False), (3, 300, 8, 0.3, 30, 3, True)]
 
 
 @pytest.mark.parametrize("seed, n, d, noise, centres, kept, zipf", CASES)
