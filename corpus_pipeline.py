@@ -50,9 +50,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``: one row per kept copy, with the columns of the piece codec's query.
 
-    An empty table, and one without any text, gives no rows; of repeated rows
-    one stays; null ids stay apart from all others; columns that have names of
-    an operator's own keep their values up to the last stage.
+    An empty table gives no rows; documents without letters go if any language
+    can be learned from the table; of equal texts one stays, null and repeated
+    ids included; columns that have names of an operator's own keep their
+    values up to the last stage.
     """
     docs = documents(spark, sf_dir)
     for i, (_, stage) in enumerate(STAGES):
