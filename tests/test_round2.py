@@ -72,3 +72,17 @@ def test_mark_defaults_only_without_a_folder(spark, tmp_path):
     scan.write_mark(spark, root, 1, 11)
     scan.write_mark(spark, root, 2, 12)
     assert scan.read_mark(spark, root, 7) == 12
+
+
+def test_textrank_reads_one_document_at_a_time(spark):
+    seg = "array<struct<word:string,nature:string>>"
+    rows = spark.createDataFrame([(i, [("red", "n"), ("blue", "n"), (f"w{i}", "n")]) for i in range(40)] + [(99, None), (100, [])], f"id long, seg {seg}")
+    ranked = keywords.textrank(rows, "id", "seg", natures=("n",))
+    assert "MapInArrow" in ranked._jdf.queryExecution().sparkPlan().toString()  # a pandas batch held the tokens of 10,000 documents as objects
+    got = {}
+    for r in ranked.collect():
+        got.setdefault(r.id, []).append((r.rank, r.word, r.weight))
+    assert set(got) == set(range(40))
+    for i, found in got.items():
+        want = keywords.rank_document([("red", "n"), ("blue", "n"), (f"w{i}", "n")], frozenset(["n"]), frozenset())
+        assert sorted(found) == [(r + 1, w, s) for r, (w, s) in enumerate(want)]
