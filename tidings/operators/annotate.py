@@ -17,7 +17,7 @@ def exploded_arcs(sents: DataFrame, keys) -> DataFrame:
     """(keys…, idx, word, postag, head, rel): one row per token (idx 0-based)."""
     k = list(keys)
     z = F.arrays_zip(F.col("words").alias("w"), F.col("postags").alias("p"), F.col("arcs").alias("a"))
-    return (sents.select(*k, F.posexplode(z).alias("idx", "t"))
+    return (sents.select(*k, F.posexplode_outer(z).alias("idx", "t")).where(F.col("idx").isNotNull())
                  .select(*k, F.col("idx").cast("int").alias("idx"), F.col("t.w").alias("word"),
                          F.col("t.p").alias("postag"), F.col("t.a.head").alias("head"), F.col("t.a.rel").alias("rel")))
 
@@ -26,11 +26,30 @@ def child_map(sents: DataFrame, keys) -> DataFrame:
     """(keys…, parent, rel, children) — children of each (parent, relation)
     in index order; parent is 0-based (-1 = the virtual root)."""
     k = list(keys)
-    a = exploded_arcs(sents, k)
+    a = (sents.select(*k, F.posexplode_outer("arcs").alias("idx", "a")).where(F.col("idx").isNotNull())
+         .select(*k, "idx", F.col("a.head").alias("head"), F.col("a.rel").alias("rel")))
     return (a.groupBy(*k, (F.col("head") - 1).alias("parent"), "rel")
              .agg(F.sort_array(F.collect_list("idx")).alias("children")))
 
 
+def _typed_tokens(sents: DataFrame, keys, **more) -> DataFrame:
+    """(keys…, idx, word, type, _isl, and the arrays of ``more`` by name): tokens with their entity type and the number of entity chunks begun so
+    far, a running sum over each sentence."""
+    k = list(keys)
+    z = F.arrays_zip(F.col("words").alias("w"), F.col("netags").alias("n"), *[F.col(c).alias(name) for name, c in more.items()])
+    t = (sents.select(*k, F.posexplode_outer(z).alias("idx", "x")).where(F.col("idx").isNotNull())
+              .select(*k, F.col("idx").cast("int").alias("idx"), F.col("x.w").alias("word"), *[F.col(f"x.{name}") for name in more],
+                      F.when(F.col("x.n") == "O", F.lit(None)).otherwise(F.element_at(F.split(F.col("x.n"), "-"), -1)).alias("type")))
+    w = Window.partitionBy(*k).orderBy("idx")
+    prev = F.lag("type").over(w)
+    change = F.when(F.col("type").isNotNull() & (prev.isNull() | (prev != F.col("type"))), 1).otherwise(0)
+    return t.withColumn("_isl", F.sum(change).over(w))
+
+
+def _spelled(tokens) -> "Column":
+    return F.array_join(F.transform(F.sort_array(tokens), lambda s: s["word"]), "")
+
+
 def ner_islands(sents: DataFrame, keys) -> DataFrame:
     """Entity chunks (keys…, type, start, end, name) from BIES tags.
 
@@ -40,35 +59,39 @@ def ner_islands(sents: DataFrame, keys) -> DataFrame:
     sum over each sentence.
     """
     k = list(keys)
-    z = F.arrays_zip(F.col("words").alias("w"), F.col("netags").alias("n"))
-    t = (sents.select(*k, F.posexplode(z).alias("idx", "x"))
-              .select(*k, F.col("idx").cast("int").alias("idx"), F.col("x.w").alias("word"),
-                      F.when(F.col("x.n") == "O", F.lit(None)).otherwise(F.element_at(F.split(F.col("x.n"), "-"), -1)).alias("type")))
-    w = Window.partitionBy(*k).orderBy("idx")
-    prev = F.lag("type").over(w)
-    change = F.when(F.col("type").isNotNull() & (prev.isNull() | (prev != F.col("type"))), 1).otherwise(0)
-    isl = t.withColumn("_isl", F.sum(change).over(w)).where(F.col("type").isNotNull())
+    isl = _typed_tokens(sents, k).where(F.col("type").isNotNull())
     return (isl.groupBy(*k, "_isl")
                .agg(F.first("type").alias("type"), F.min("idx").alias("start"), (F.max("idx") + 1).alias("end"),
-                    F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "word"))), lambda s: s["word"]), "")
-                     .alias("name"))
+                    _spelled(F.collect_list(F.struct("idx", "word"))).alias("name"))
                .drop("_isl"))
 
 
 def coarse_tokens(sents: DataFrame, keys) -> DataFrame:
     """(keys…, pos, word, nature): tokens with every entity chunk fused
     into one token whose POS is the lower-cased type; a sentence without any
-    entity yields no tokens (as in the original)."""
+    entity yields no tokens (as in the original).
+
+    A chunk covers the places of its own tokens and no others, so one pass over
+    the tokens of a sentence finds the chunks and what they leave: nothing is
+    joined.
+    """
     k = list(keys)
-    chunks = ner_islands(sents, k)
-    toks = exploded_arcs(sents, k).join(chunks.select(*k).distinct(), k, "left_semi")
-    covered = (toks.join(chunks.select(*k, "start", "end"), k)
-                   .where((F.col("idx") >= F.col("start")) & (F.col("idx") < F.col("end")))
-                   .select(*k, "idx"))
-    plain = toks.join(covered, k + ["idx"], "left_anti").select(*k, F.col("idx").alias("pos"), "word",
-                                                                 F.col("postag").alias("nature"))
-    fused = chunks.select(*k, F.col("start").alias("pos"), F.col("name").alias("word"), F.lower("type").alias("nature"))
-    return plain.unionByName(fused)
+    typed = F.col("type").isNotNull()
+    here = Window.partitionBy(*k).orderBy("idx").rangeBetween(Window.currentRow, Window.currentRow)
+    known = [F.col(c).isNotNull() for c in k]
+    t = (_typed_tokens(sents, k, postag="postags").withColumn("_covered", F.max(typed).over(here))
+         .withColumn("_any", F.max(typed).over(Window.partitionBy(*k))).where("_any"))
+    plain = ~F.col("_covered")
+    for c in known:
+        plain = plain & c
+    g = t.groupBy(*k, "_isl").agg(
+        F.collect_list(F.when(plain, F.struct(F.col("idx").alias("pos"), "word", F.col("postag").alias("nature")))).alias("_plain"),
+        F.min(F.when(typed, F.col("idx"))).alias("_start"), F.first("type", ignorenulls=True).alias("_type"),
+        _spelled(F.collect_list(F.when(typed, F.struct("idx", "word")))).alias("_name"))
+    fused = F.when(F.col("_type").isNotNull(), F.array(F.struct(
+        F.col("_start").alias("pos"), F.col("_name").alias("word"), F.lower("_type").alias("nature")))).otherwise(F.array().cast(
+            "array<struct<pos:int,word:string,nature:string>>"))
+    return g.select(*k, F.explode(F.concat("_plain", fused)).alias("x")).select(*k, "x.pos", "x.word", "x.nature")
 
 
 def core_words(sents: DataFrame, keys) -> DataFrame:
@@ -76,8 +99,8 @@ def core_words(sents: DataFrame, keys) -> DataFrame:
     reachable from it through COO arcs; offe = length of the words before.
 
     Pointer doubling inside the sentence row: a COO token points to its head,
-    any other token to itself, and ⌈log2 n⌉ + 1 passes of ``to = to[to]`` reach
-    the end of every chain, however deep.  Tokens on a COO cycle never reach a
+    any other token to itself, and ⌈log2 n⌉ passes of ``to = to[to]`` reach the
+    end of every chain of n COO tokens, none of them when there is only one.  Tokens on a COO cycle never reach a
     root and are not returned.  No join, no shuffle.
     """
     k = list(keys)
@@ -89,11 +112,14 @@ def core_words(sents: DataFrame, keys) -> DataFrame:
         return F.transform(hops, lambda h: F.struct(
             F.get(hops, h["to"])["to"].alias("to"), (h["depth"] + F.get(hops, h["to"])["depth"]).alias("depth")))
 
-    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size("arcs"), F.lit(1)))).cast("int"))
-    hops = sents.select(*k, "words", "arcs", F.aggregate(passes, start, double).alias("hops"))
-    rooted = hops.select(*k, "words", "arcs", F.posexplode("hops").alias("idx", "h")).where(F.get("arcs", F.col("h.to"))["rel"] == "HED")
-    before = F.length(F.array_join(F.slice("words", F.lit(1), F.col("idx")), ""))
-    return rooted.select(*k, "idx", F.col("h.depth").alias("depth"), F.get("words", F.col("idx")).alias("word"), before.cast("int").alias("offe"))
+    steps = sents.select(*k, "words", "arcs", F.size(F.filter("arcs", coo)).alias("n"), start.alias("start"))
+    passes = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(F.col("n"), F.lit(2)))).cast("int"))
+    hops = steps.select(*k, "words", "arcs", F.when(F.col("n") < 2, F.col("start")).otherwise(F.aggregate(passes, F.col("start"), double)).alias("hops"))
+    # The rooted tokens are picked inside the row, so that the sentence is not copied for each of its tokens.
+    rooted = F.filter(F.transform("hops", lambda h, i: F.when(F.get("arcs", h["to"])["rel"] == "HED", F.struct(
+        i.alias("idx"), h["depth"].alias("depth"), F.get("words", i).alias("word"),
+        F.length(F.array_join(F.slice("words", F.lit(1), i), "")).cast("int").alias("offe")))), lambda x: x.isNotNull())
+    return hops.select(*k, F.explode_outer(rooted).alias("x")).where(F.col("x").isNotNull()).select(*k, "x.idx", "x.depth", "x.word", "x.offe")
 
 
 # --- per-sentence triples (X2, X4, X5) -------------------------------------
@@ -322,46 +348,48 @@ def merge_chunk_tokens(seg: "Column", chunks: "Column") -> "Column":
     until a token starts exactly at the chunk's end — if none does, the rest
     of the sentence is dropped (as in the original).  For equal starts the
     last-listed chunk wins.
+
+    The fold is a Python loop, linear in tokens and chunks: a fold of array
+    functions copies its output, and looks through all chunks, for every token.
+    Sentences without chunks pass through untouched and are not sent there.
     """
-    from pyspark.sql import Column  # noqa: F401
-
-    last = F.filter(chunks, lambda c, i: ~F.exists(F.slice(chunks, i + 2, F.size(chunks)), lambda d: d["start"] == c["start"]))
-    tok_t = "struct<word:string,nature:string,offset:int>"
-    init = F.struct(F.lit(None).cast("int").alias("end"), F.lit(False).alias("open"),
-                    F.array().cast(f"array<{tok_t}>").alias("out"))
-
-    def step(acc, t):
-        reset = acc["end"].isNotNull() & (t["offset"] == acc["end"])
-        end0 = F.when(reset, F.lit(None).cast("int")).otherwise(acc["end"])
-        open0 = F.when(reset, F.lit(False)).otherwise(acc["open"])
-        hit = F.try_element_at(F.filter(last, lambda c: c["start"] == t["offset"]), F.lit(1))
-        start_chunk = hit.isNotNull() & end0.isNull()
-        chunk_tok = F.struct(hit["chunk"].alias("word"), F.lit("n").alias("nature"), t["offset"].cast("int").alias("offset"))
-        plain_tok = F.struct(t["word"].alias("word"), t["nature"].alias("nature"), t["offset"].cast("int").alias("offset"))
-        out = (F.when(start_chunk, F.array_append(acc["out"], chunk_tok))
-                .when(~open0, F.array_append(acc["out"], plain_tok))
-                .otherwise(acc["out"]))
-        return F.struct(F.when(start_chunk, hit["end"].cast("int")).otherwise(end0).alias("end"),
-                        (start_chunk | open0).alias("open"), out.alias("out"))
-
-    folded = F.aggregate(seg, init, step, lambda acc: acc["out"])
-    # Sentences without chunks pass through untouched (no fold at all).
+    @F.udf("array<struct<word:string,nature:string,offset:int>>")
+    def fold(seg, chunks):
+        if seg is None:
+            return None
+        last = {c.start: c for c in chunks or () if c is not None and c.start is not None}
+        out, end, open_ = [], None, False
+        for t in seg:
+            if end is not None and t.offset == end:
+                end, open_ = None, False
+            hit = last.get(t.offset) if end is None else None
+            if hit is not None:
+                out.append((hit.chunk, "n", t.offset))
+                end, open_ = hit.end, True
+            elif not open_:
+                out.append((t.word, t.nature, t.offset))
+        return out
+
+    some = F.size(chunks) > 0
     plain = F.transform(seg, lambda t: F.struct(t["word"].alias("word"), t["nature"].alias("nature"),
                                                 t["offset"].cast("int").alias("offset")))
-    return F.when(F.size(chunks) == 0, plain).otherwise(folded)
+    folded = fold(F.when(some, seg), F.when(some, chunks))
+    return F.when(some, folded).otherwise(plain)
 
 
 def role_triples(roles: DataFrame, sents: DataFrame, keys) -> DataFrame:
     """Per predicate, the A0 / A1 / TMP / LOC argument spans as text.
 
     ``roles`` is (keys…, pred, role, start, end) with inclusive token spans;
-    each span joins the sentence's tokens (a range condition inside one
-    sentence), is concatenated in token order, and the roles are pivoted.
+    each span is spelled out as token indexes, which meet the sentence's tokens
+    by equality, is concatenated in token order, and the roles are pivoted.
     """
     k = list(keys)
     toks = exploded_arcs(sents, k).select(*k, "idx", "word")
-    spans = (roles.join(toks, k)
-                  .where((F.col("idx") >= F.col("start")) & (F.col("idx") <= F.col("end")))
+    lengths = sents.groupBy(*k).agg(F.max(F.size("words")).alias("_n"))
+    begin, stop = F.greatest(F.col("start"), F.lit(0)), F.least(F.col("end"), F.col("_n") - 1)
+    spans = (roles.join(lengths, k).where(begin <= stop).withColumn("idx", F.explode(F.sequence(begin.cast("int"), stop.cast("int"))))
+                  .join(toks, k + ["idx"])
                   .groupBy(*k, "pred", "role")
                   .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "word"))), lambda s: s["word"]), "")
                         .alias("text")))
