@@ -245,3 +245,22 @@ def test_left_ids_like_the_library_on_whole_texts():
     some += [f"a{chr(c)}'s {chr(c)}{chr(c)}1 {chr(c)}'s\n{chr(c)} {chr(c)}.{chr(c)}" for c in range(0x250)]
     whole = [e.ids for e in table.a.encode_batch([" " + t for t in some], add_special_tokens=False)]
     assert [x.tolist() for x in table.encode(some, {})[0]] == whole
+
+
+def test_alignment_sorts_and_spells_once(monkeypatch):
+    """Texts of Latin signs are not spelled token by token on the left, group borders and id rows need one sort; the result is the plain one."""
+    from tidings.llm import token_alignment as T
+    table = T.tables(T.LEFT, T.RIGHT)
+    texts = ["The quick  brown fox, the quick fox.", "caf\u00e9 12345\n\tx", "", "\u4e2d\u6587 and the fox", "a" * 300]
+    a, b = table.encode(texts, {})
+    spelled = []
+    monkeypatch.setattr(T.Tables, "spells", lambda self, ids, names, text: spelled.append(text) or b"".join(names[ids].tolist()) == text)
+    assert [table.left_spells(x, t, b" " + t.encode()) for x, t in zip(a, texts)] == [True] * 5 and spelled == [" \u4e2d\u6587 and the fox".encode()]
+    assert not table.left_spells(a[0][1:], texts[0], b" " + texts[0].encode())
+    a[2], b[2] = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    whole = T.align_tokens(table, a, b, 7)
+    for k in range(5):
+        one = T.align_tokens(table, a[k:k + 1], b[k:k + 1])
+        at = slice(whole.pair_ends[k - 1] if k else 0, whole.pair_ends[k])
+        assert one.groups[0] == whole.groups[k] and one.pairs.tolist() == whole.pairs[at].tolist() and one.links.tolist() == whole.links[at].tolist()
+        assert (one.n_groups[0], one.n_overlaps[0]) == (whole.n_groups[k], whole.n_overlaps[k])

@@ -48,6 +48,10 @@ _SPACE = re.compile(r"(?<=[!-~]) (?=[!-~])")
 _OTHER = re.compile("[^\x00-\u024f]")
 
 
+def _plain(text: str) -> bool:
+    return text.isascii() or _OTHER.search(text) is None
+
+
 class Csr(NamedTuple):
     """Compressed sparse rows; ``columns`` is the number of columns."""
     indptr: np.ndarray
@@ -76,27 +80,33 @@ def product(a: Csr, b: Csr, at_once: int = PRODUCTS) -> Iterator[tuple[np.ndarra
     Blocks of rows with at most ``at_once`` partial products; a row with more is a block by itself.
     """
     fan = np.diff(b.indptr)[a.indices]
-    upto = np.concatenate([[0], np.cumsum(fan)])
-    by_row = upto[a.indptr]
+    # Rows of one entry each: the partial products stand where the entries of ``a`` stand.
+    single = bool((fan == 1).all())
+    upto = np.zeros(0, np.int64) if single else np.concatenate([[0], np.cumsum(fan)])
+    by_row = a.indptr if single else upto[a.indptr]
     row, last = 0, len(a.indptr) - 1
     while row < last:
         end = max(row + 1, int(np.searchsorted(by_row, by_row[row] + at_once, "right")) - 1)
         first, stop = a.indptr[row], a.indptr[end]
-        part = fan[first:stop]
-        entry = np.repeat(np.arange(first, stop), part)
-        source = np.arange(by_row[row], by_row[end]) + np.repeat(b.indptr[a.indices[first:stop]] - upto[first:stop], part)
-        of_entry = np.repeat(np.arange(row, end), np.diff(a.indptr[row:end + 1]))
-        key = of_entry[entry - first] * b.columns + b.indices[source]
+        of_row = np.repeat(np.arange(row, end), np.diff(a.indptr[row:end + 1]))
+        if single:
+            entry, source = slice(first, stop), b.indptr[a.indices[first:stop]]
+        else:
+            part = fan[first:stop]
+            entry = np.repeat(np.arange(first, stop), part)
+            source = np.arange(by_row[row], by_row[end]) + np.repeat(b.indptr[a.indices[first:stop]] - upto[first:stop], part)
+            of_row = of_row[entry - first]
+        column = b.indices[source]
+        key = of_row * b.columns + column
         value = a.data[entry] * b.data[source]
         if len(key):
             step = np.diff(key)
             if (step < 0).any():
                 order = np.argsort(key, kind="stable")
-                key, value = key[order], value[order]
-                step = np.diff(key)
+                of_row, column, value = of_row[order], column[order], value[order]
+                step = np.diff(key[order])
             cut = np.concatenate([[0], np.flatnonzero(step) + 1])
-            found = key[cut]
-            yield found // b.columns, found % b.columns, np.add.reduceat(value, cut)
+            yield of_row[cut], column[cut], np.add.reduceat(value, cut)
         row = end
 
 
@@ -147,10 +157,10 @@ class Tables:
         return tiktoken.Encoding("left", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def left_ids(self, text: str, known: dict[str, bytes]) -> np.ndarray:
-        if self.ranked is not None and _OTHER.search(text) is None:
+        if self.ranked is not None and _plain(text):
             return self.ranked.encode_to_numpy(" " + text, disallowed_special=())
         parts = []
-        for plain, words in groupby(_SPACE.split(text), lambda w: _OTHER.search(w) is None):
+        for plain, words in groupby(_SPACE.split(text), _plain):
             if plain and self.ranked is not None:
                 parts.append(self.ranked.encode_to_numpy(" " + " ".join(words), disallowed_special=()).tobytes())
             else:
@@ -159,14 +169,20 @@ class Tables:
 
     def encode(self, texts: list[str], known: dict[str, bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of space+text and of text; ``known`` keeps the left ids of words already met."""
-        fresh = list({w for t in texts if self.ranked is None or _OTHER.search(t) for w in _SPACE.split(t)
-                      if w not in known and (self.ranked is None or _OTHER.search(w))})
+        fresh = list({w for t in texts if self.ranked is None or not _plain(t) for w in _SPACE.split(t)
+                      if w not in known and (self.ranked is None or not _plain(w))})
         for at in range(0, len(fresh), 1024):
             part = fresh[at:at + 1024]
             for w, e in zip(part, self.a.encode_batch_fast([" " + w for w in part], add_special_tokens=False)):
                 known[w] = np.array(e.ids, "<u4").tobytes()
         return [self.left_ids(t, known) for t in texts], [np.array(ids, np.int64) for ids in self.b.encode(texts, num_threads=1)]
 
+    def left_spells(self, ids: np.ndarray, text: str, spelled: bytes) -> bool:
+        """Whether left ids spell space+text.  Ranks spell pieces of the text one after the other: equal in length, they spell it all."""
+        if self.ranked is not None and _plain(text):
+            return int(self.a_size[ids].sum()) == len(spelled)
+        return self.spells(ids, self.a_spelled, spelled)
+
     def spells(self, ids: np.ndarray, table: np.ndarray, text: bytes) -> bool:
         return b"".join(table[ids].tolist()) == text
 
@@ -212,17 +228,25 @@ def align_tokens(table: Tables, a_docs: list[np.ndarray], b_docs: list[np.ndarra
     a_last = np.concatenate([np.diff(a_group) > 0, [True]]) if len(a) else np.zeros(0, bool)
     b_last = np.concatenate([np.diff(b_group) > 0, [True]]) if len(b) else np.zeros(0, bool)
     order = np.empty(len(a) + len(b), np.int64)
-    order[np.arange(len(a)) + np.searchsorted(b_group, a_group, "left")] = a + a_last * table.na
-    order[np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")] = b + 2 * table.na + b_last * table.nb
+    a_upto, b_upto = (np.cumsum(np.bincount(side, minlength=total)) for side in (a_group, b_group))
+    order[np.arange(len(a)) + np.concatenate([[0], b_upto])[a_group]] = a + a_last * table.na
+    order[np.arange(len(b)) + a_upto[b_group]] = b + 2 * table.na + b_last * table.nb
     ends = np.cumsum(n_a + n_b)
     names = [b"".join(table.names[order[u:v]].tolist())[:-1] for u, v in zip((ends - n_a - n_b).tolist(), ends.tolist())]
     # Group incidence: rows are the ids of each document, columns its groups.
-    key, row = np.unique(a_doc * table.na + a, return_inverse=True)
-    by_id = incidence(row.reshape(-1), a_group, len(key), max(total, 1))
+    # (A token list stands in the order of its groups, so one sort by id gives rows and columns ascending.)
+    key = a_doc * table.na + a
+    by_key = np.argsort(key, kind="stable")
+    key, column = key[by_key], a_group[by_key]
+    new_row = np.concatenate([[True], np.diff(key) > 0])[:len(key)]
+    cell = np.flatnonzero(new_row | np.concatenate([[True], np.diff(column) > 0])[:len(key)])
+    key, row = key[new_row], (np.cumsum(new_row) - 1)[cell]
+    by_id = Csr(np.searchsorted(row, np.arange(len(key) + 1)), column[cell], np.diff(np.append(cell, len(a))), max(total, 1))
     by_group = incidence(b_group, b, max(total, 1), table.nb)
     row, column, links = whole_product(by_id, by_group, products)
-    pairs = key[row] % table.na * table.nb + column if len(row) else np.zeros(0, np.int64)
-    pair_doc = key[row] // table.na if len(row) else np.zeros(0, np.int64)
+    key_doc, key_id = np.divmod(key, table.na)
+    pairs = (key_id * table.nb)[row] + column if len(row) else np.zeros(0, np.int64)
+    pair_doc = key_doc[row] if len(row) else np.zeros(0, np.int64)
     return Run(n_a, n_b, np.bincount(group_doc, minlength=docs), np.bincount(a_doc[i], minlength=docs), names,
                np.searchsorted(pair_doc, np.arange(docs), "right"), pairs, links)
 
@@ -246,7 +270,7 @@ def _align(left: str, right: str, block_bytes: int, run_bytes: int, id_type: pa.
             a_docs, b_docs = table.encode(texts, known)
             for k, text in enumerate(texts):
                 spelled = b" " + text.encode()
-                if not text or not table.spells(b_docs[k], table.b_spelled, spelled) or not table.spells(a_docs[k], table.a_spelled, spelled):
+                if not text or not table.spells(b_docs[k], table.b_spelled, spelled) or not table.left_spells(a_docs[k], text, spelled):
                     a_docs[k], b_docs[k] = np.zeros(0, np.int64), np.zeros(0, np.int64)
             return align_tokens(table, a_docs, b_docs)
 
