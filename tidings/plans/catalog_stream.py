@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import format_ms
-from ..session import DAY_MS, ntz_to_ms
+from ..session import DAY_MS, ntz_to_ms, stored
 from ..streaming import live
 from ..streaming.clusters import LiveRules, by_key, run_stream
 from ..streaming.state import VersionedStore
@@ -49,7 +49,7 @@ def stream_windows_q(spark, sf_dir):
 WEEK_MS = 7 * DAY_MS
 LATE_TYPE = "error"
 LIVE = LiveRules(look_back_days=8)
-_FILES = 4
+_FILES = 12
 
 
 def deliveries(spark, sf_dir):
@@ -66,6 +66,8 @@ def deliveries(spark, sf_dir):
 
 def delivered_stream(spark, table, root):
     """The deliveries written one after the other, read as a stream of one delivery per batch."""
+    # Every delivery reads the table again: its rows are made once.
+    table = stored(table)
     last = table.agg(F.max("delivery")).first()[0]
     for number in range((-1 if last is None else last) + 1):
         table.where(F.col("delivery") == number).drop("delivery").repartition(_FILES).write.mode("append").parquet(f"{root}/inbox")

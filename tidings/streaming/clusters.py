@@ -31,7 +31,7 @@ from .. import config as C
 from ..operators import clustering as CL
 from ..operators.moving_means import moving_mean_clusters, ordered_index
 from ..operators.vectors import centroids
-from ..session import DAY_MS, cut_lineage
+from ..session import DAY_MS, stored
 from ..sources.scan import delta, retain
 from .state import VersionedStore
 
@@ -73,7 +73,8 @@ def attributes(members: DataFrame, words_col: str = "title_words") -> DataFrame:
     named = members.withColumnRenamed("cluster", "cluster_id")
     kw = CL.title_keywords(named, words_col)
     found = CL.cluster_record(named).join(kw, "cluster_id", "left").join(CL.title_pick(named, kw, words_col), "cluster_id")
-    return CL.by_size(found).withColumnRenamed("cluster_id", "cluster")
+    # Putting them in order reads them twice: once for the bounds of its ranges.
+    return CL.by_size(stored(found)).withColumnRenamed("cluster_id", "cluster")
 
 
 def run_batch(store: VersionedStore, batch_id: int, rows: DataFrame, assign: Assign, rules: LiveRules = LiveRules(),
@@ -88,22 +89,30 @@ def run_batch(store: VersionedStore, batch_id: int, rows: DataFrame, assign: Ass
     spark = rows.sparkSession
     old = {t: store.read(t, before=batch_id) for t in ("clock", "seen", "waiting", "members", "clusters")}
     # The same rows feed several tables of one version.
-    rows = cut_lineage(rows.where(F.col("id").isNotNull() & F.col("publishAt").isNotNull()))
+    rows = stored(rows.where(F.col("id").isNotNull() & F.col("publishAt").isNotNull()))
     ends = [r for r in (rows.agg(F.max("publishAt")).first()[0], old["clock"] and old["clock"].first()["end_ms"]) if r is not None]
     if not ends:
         return
     end_ms = max(ends)
-    clock = spark.createDataFrame([(batch_id, end_ms)], "batch_id long, end_ms long")
+    clock = spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(end_ms).cast("long").alias("end_ms"))
     since = end_ms - int(rules.look_back_days * DAY_MS)
     rest = [c for c in rows.columns if c not in ("id", "publishAt")]
     once = (rows.where(F.col("publishAt") > since).groupBy("id").agg(F.min(F.struct("publishAt", *rest)).alias("r"))
             .select("id", "r.*").select(*rows.columns))
-    fresh = delta(once, old["seen"])
-    waiting = cut_lineage(fresh if old["waiting"] is None else fresh.unionByName(old["waiting"]))
+    # What is new goes to the waiting and to the seen ids.
+    fresh = stored(delta(once, old["seen"]))
+    waiting = fresh if old["waiting"] is None else fresh.unionByName(old["waiting"])
     seen = fresh.select("id", "publishAt")
     if old["seen"] is not None:
         seen = seen.unionByName(old["seen"].where(F.col("publishAt") > since))
     tables = {"clock": clock, "seen": seen, "waiting": waiting}
+    written: dict[str, str] = {}
+
+    def kept(name: str, table: DataFrame) -> DataFrame:
+        """``table`` written where it stays, and read from there: what follows from it is not another copy's work."""
+        written.update(store.write(batch_id, {name: table}))
+        return store.at(written[name], table.schema)
+
     if waiting.count() >= rules.min_batch:
         order = ordered_index(waiting.withColumn("_order", F.struct("publishAt", "id")), "_order", "_at").drop("_order")
         if old["members"] is None:
@@ -114,17 +123,17 @@ def run_batch(store: VersionedStore, batch_id: int, rows: DataFrame, assign: Ass
             start = (old["members"].agg(F.max("pos")).first()[0] or 0) + 1
             clusters = retain(old["clusters"], end_ms, rules.single_days, rules.days)
             members = old["members"].join(clusters.select("cluster"), "cluster", "left_semi")
-        new = cut_lineage(order.withColumn("pos", F.col("_at") + start).drop("_at"))
+        new = stored(order.withColumn("pos", F.col("_at") + start).drop("_at"))
         found = assign(members, clusters, new).select(
             "id", F.coalesce("cluster", F.col("opened_by").cast("string")).alias("cluster"))
         joined = new.join(found, "id").select("cluster", "pos", *rows.columns)
-        members = cut_lineage(members.select("cluster", "pos", *rows.columns).unionByName(joined))
-        clusters = cut_lineage(attributes(members))
+        members = kept("members", members.select("cluster", "pos", *rows.columns).unionByName(joined))
+        clusters = kept("clusters", attributes(members))
         saved = clusters.where(F.col("size") > rules.save_above).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        tables |= {"waiting": waiting.limit(0), "members": members, "clusters": clusters,
+        tables |= {"waiting": waiting.limit(0),
                    "log": saved.select("batch_id", "cluster", F.col("size").alias("hot"), "id", "title", "keywords", F.col("publish_time").alias("publishAt")),
                    "log_members": saved.select("batch_id", "cluster").join(members.select("cluster", "id", "pos"), "cluster")}
-    written = store.write(batch_id, tables)
+    written |= store.write(batch_id, tables)
     if before_commit is not None:
         before_commit(batch_id)
     store.commit(batch_id, written)
