@@ -130,3 +130,25 @@ def test_chunk_token_merge_goldens(spark):
     ch = F.transform(chunk_offsets(F.col("s")), lambda c: F.struct(c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end")))
     for r in df.select("i", A.merge_chunk_tokens(F.col("seg"), ch).alias("m")).collect():
         assert [(x.word, x.nature, x.offset) for x in r.m] == wanted[r.i]
+
+
+def test_long_sentence_with_deep_phrases(spark):
+    """A sentence of 20,000 tokens in one chain of attributes, and as many coordinated core words: the cost of reading is linear in them."""
+    import time
+    n = 20_000
+    words = [f"w{i % 97}" for i in range(n)]
+    chain = [(i + 2, "ATT") for i in range(n - 2)] + [(n, "SBV"), (0, "HED")]
+    coo = [(0, "HED")] + [(i, "COO") for i in range(1, n - 1)] + [(1, "VOB")]
+    began = time.time()
+    out, core = read(spark, words, ["n"] * (n - 1) + ["v"], chain)
+    assert out == [("".join(words[:-1]), words[-1], "", "主谓")] and core == [(words[-1], len("".join(words[:-1])))]
+    out, core = read(spark, words, ["v"] + ["n"] * (n - 1), coo)
+    assert [t[1:3] for t in out] == [("w0", words[-1])] and len(core) == n - 1
+    assert time.time() - began < 60
+
+
+def test_unknown_parts_of_a_parse(spark):
+    # an arc without relation casts doubt on later subjects of its head; words beyond the arcs are in no phrase; a null word is left out
+    assert read(spark, ["a", "b", "c"], ["n", "n", "v"], [(3, None), (3, "SBV"), (0, "HED")])[0] == [("b", "c", "", "主谓")]
+    assert read(spark, ["a", "b", "c", "d"], ["v", "n", "v"], [(0, "HED"), (3, None), (1, "VOB")])[0] == [("", "a", "c", "谓宾")]
+    assert read(spark, ["a", None, "c"], ["n", "n", "v"], [(2, "ATT"), (3, "SBV"), (0, "HED")])[0] == [("a", "c", "", "主谓")]

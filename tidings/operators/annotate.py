@@ -3,12 +3,19 @@
 Input: one row per sentence with parallel arrays ``words``, ``postags``,
 ``netags`` and ``arcs`` (array<struct<head:int, rel:string>>, 1-based head,
 0 = root).  Work is either a grouped aggregate over the exploded arcs (child
-map, islands) or array functions inside the sentence row: chains of arcs are
-followed by pointer doubling (core words, phrases), so no step needs a join.
+map, islands) or stays inside the sentence row, so no step needs a join: core
+words follow chains of arcs by pointer doubling, triples are read by a Python
+function that is linear in the tokens.
 """
 
 from __future__ import annotations
 
+from heapq import heappop, heappush
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,205 +131,255 @@ def core_words(sents: DataFrame, keys) -> DataFrame:
 
 # --- per-sentence triples (X2, X4, X5) -------------------------------------
 
-#: Place of a dependent's phrase around its head word: SBV, ATT, the word itself, COO, VOB.
-_PLACE = {"SBV": "0", "ATT": "1", "COO": "3", "VOB": "4"}
-_OWN = "2"
-#: Digits of a token index inside a path, and the width of one step (place + index).
-_DIGITS = 8
-_STEP = _DIGITS + 1
-
-
-def _let(value, body):
-    """``body`` of ``value``, which is evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _digits(i):
-    return F.lpad(i.cast("string"), _DIGITS, "0")
-
-
-def _paths(steps):
-    """Paths from the top of a forest down to every token of a sentence.
-
-    ``steps`` holds ``up`` (0-based parent, null at a top) and ``step`` per
-    token; the result holds ``key`` (index of the top, then the steps) and
-    ``top``.  Pointer doubling, as in ``core_words``.  A token on or below a
-    cycle has no top and stands alone.
-    """
-    start = F.transform(steps, lambda s, i: F.struct(F.coalesce(s["up"], i).cast("int").alias("to"),
-                                                     F.coalesce(s["step"], F.lit("")).alias("path")))
-
-    def double(hops, _):
-        return F.transform(hops, lambda h: F.struct(
-            F.get(hops, h["to"])["to"].alias("to"), F.concat(F.get(hops, h["to"])["path"], h["path"]).alias("path")))
-
-    passes = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(F.size(steps), F.lit(2)))).cast("int"))
-    return _let(F.aggregate(passes, start, double), lambda hops: F.transform(hops, lambda h, i: F.when(
-        F.get(steps, h["to"])["up"].isNull(), F.struct(F.concat(_digits(h["to"]), h["path"]).alias("key"), h["to"].alias("top")))
-        .otherwise(F.struct(_digits(i).alias("key"), F.lit(None).cast("int").alias("top")))))
+#: Dependents whose phrases come before their head word; those of COO and VOB come behind it, in this order.
+_AHEAD = ("SBV", "ATT")
+_TRIPLE = {"sub": pa.string(), "verb": pa.string(), "obj": pa.string(), "type": pa.string()}
+_READ = pa.struct({"ts": pa.list_(pa.struct(_TRIPLE)), "core": pa.list_(pa.struct({"word": pa.string(), "offe": pa.int32()}))})
+_TOLD = pa.list_(pa.struct(_TRIPLE | {"core": pa.bool_()}))
 
 
-def _phrase_steps(arcs, postags):
-    """X2 as a forest: the parent and place of every token that is part of its head's phrase."""
-    def step(a, i):
-        rel, up = a["rel"], a["head"] - 1
-        first = ~F.exists(F.slice(arcs, F.lit(1), i), lambda b: (b["head"] == a["head"]) & (b["rel"] == rel))
-        part = rel.isin("ATT", "COO") | (rel.isin("SBV", "VOB") & (F.get(postags, up) == "v") & first)
-        place = F.coalesce(*[F.when(rel == r, F.lit(p)) for r, p in _PLACE.items()])
-        held = a["head"].between(1, F.size(arcs)) & part
-        return F.struct(F.when(held, up).alias("up"), F.when(held, F.concat(place, _digits(i))).alias("step"))
+def _spans(words, tags, heads, rels):
+    """The words and separators of all phrases in reading order, and where every token's phrase begins and ends in them.
 
-    return F.transform(arcs, step)
-
-
-def _phrase_stream(words, arcs, keys):
-    """Words and separators of all phrases in reading order, each with the path of the phrase it is part of.
-
-    A phrase is the run of entries whose path starts with the path of its head
-    token.  The separator of a coordinated token comes before the token's whole
-    phrase and is a part of its head's phrase only.
+    The phrases are a forest: a token's phrase is its word with the phrases of
+    its SBV and ATT before it and those of its COO and VOB behind it.  The
+    separator of a coordinated token comes before the token's whole phrase and
+    is a part of its head's phrase only.  A token on or below a cycle stands
+    alone.  One walk from the tops spells everything, so the cost does not
+    depend on the depth of the forest.
     """
-    own = F.transform(words, lambda w, i: F.struct(
-        F.concat(F.get(keys, i)["key"], F.lit(_OWN)).alias("at"), F.get(keys, i)["key"].alias("key"), w.alias("text")))
-    apart = F.filter(F.transform(arcs, lambda a, i: F.when(
-        (a["rel"] == "COO") & (a["head"] != i) & (F.length(F.get(keys, i)["key"]) > _DIGITS),
-        F.struct(F.get(keys, i)["key"].alias("at"), F.substring(F.get(keys, i)["key"], F.lit(1), F.length(F.get(keys, i)["key"]) - _STEP).alias("key"),
-                 F.lit("、").alias("text")))), lambda x: x.isNotNull())
-    return F.array_sort(F.concat(own, apart))
-
+    n = len(heads)
+    ahead, behind, apart, tops = {}, {}, set(), []
+    seen, unsure_rels, unsure_heads, unsure = set(), set(), set(), False
+    for i, (head, rel) in enumerate(zip(heads, rels)):
+        part = rel == "ATT" or rel == "COO"
+        if not part and (rel == "SBV" or rel == "VOB"):  # the first of its kind, of which nothing unknown casts doubt
+            part = (head is not None and 0 < head <= len(tags) and tags[head - 1] == "v" and (head, rel) not in seen
+                    and not unsure and rel not in unsure_rels and head not in unsure_heads)
+        if head is None:
+            unsure = unsure or rel is None
+            unsure_rels.add(rel)
+        elif rel is None:
+            unsure_heads.add(head)
+        else:
+            seen.add((head, rel))
+        if part and head is not None and 1 <= head <= n:
+            (ahead if rel in _AHEAD else behind).setdefault(head - 1, []).append(i)
+            if rel == "COO" and head != i:
+                apart.add(i)
+        else:
+            tops.append(i)
+    # Of what is put on a stack the last comes first: SBV before ATT, COO before VOB.
+    for below, then in ((ahead, "ATT"), (behind, "VOB")):
+        for at, found in below.items():
+            if len(found) > 1:
+                below[at] = sorted(reversed(found), key=lambda i: rels[i] != then)
+    stream, begin, end, last = [], [-1] * n, [-1] * n, []
+    m = len(words)
+    for top in tops:
+        todo = [top]
+        while todo:
+            i = todo.pop()
+            if i < 0:  # what comes before the word ~i is told
+                i = ~i
+                after = behind.get(i)
+            else:
+                if i in apart:
+                    stream.append("、")
+                begin[i] = len(stream)
+                before = ahead.get(i)
+                if before:
+                    todo.append(~i)
+                    todo.extend(before)
+                    continue
+                after = behind.get(i)
+            if i < m and words[i] is not None:
+                stream.append(words[i])
+            if after:
+                last.append((after[0], i))
+                todo.extend(after)
+            else:
+                end[i] = len(stream)
+    # A phrase with tokens behind its word ends where the last of them does.
+    for j, i in reversed(last):
+        end[i] = end[j]
+    return stream, begin, end
+
+
+def _verb_triples(words, tags, heads, rels):
+    """[sub, verb, obj, type] of every token with POS ``v``, by the first rule that fits its children."""
+    stream, begin, end = _spans(words, tags, heads, rels)
+    n, first = len(heads), {}
+    for i, (head, rel) in enumerate(zip(heads, rels)):
+        if rel in ("SBV", "VOB", "CMP", "POB", "FOB"):
+            first.setdefault((head, rel), i)
+
+    def word(i):
+        return words[i] if i < len(words) else None
 
-def _verb_triples(words, postags, arcs, keys, stream):
-    """(sub, verb, obj, type) of every token with POS ``v``, by the first rule that fits its children."""
     def phrase(i):
-        return F.array_join(F.transform(F.filter(stream, lambda x: x["key"].startswith(F.get(keys, i)["key"])), lambda x: x["text"]), "")
-
-    def triple(sub, verb, obj, kind):
-        return F.struct(sub.alias("sub"), verb.alias("verb"), obj.alias("obj"), F.lit(kind).alias("type"))
-
-    def first_of(children, rel):
-        return F.get(F.filter(children, lambda c: c["rel"] == rel), F.lit(0))["idx"]
-
-    def of(i, a, children, placed, none=F.lit("")):
-        word = F.get(words, i)
-        child = {r: first_of(children, r) for r in ("SBV", "VOB", "CMP", "FOB")}
-        has = {r: c.isNotNull() for r, c in child.items()}
-        place = F.get(F.filter(placed, lambda c: (c["head"] == child["CMP"] + 1) & (c["rel"] == "POB")), F.lit(0))["idx"]
-        # An attributive verb: its head is the subject, unless the head's phrase still tells the verb and object.
-        attribute = _let(F.struct(F.coalesce(phrase(a["head"] - 1), none).alias("noun"), phrase(child["VOB"]).alias("obj")), lambda p: _let(
-            F.when(p["noun"].startswith(F.concat(word, p["obj"])), F.substring(p["noun"], F.length(word) + F.length(p["obj"]) + 1, F.length(p["noun"])))
-            .otherwise(p["noun"]), lambda noun: F.when(~noun.contains(F.concat(word, p["obj"])), triple(noun, word, p["obj"], "补主"))))
-        return (F.when(has["SBV"] & has["VOB"], triple(phrase(child["SBV"]), word, phrase(child["VOB"]), "主谓宾"))
-                 .when((a["rel"] == "ATT") & has["VOB"], attribute)
-                 .when(a["rel"] == "ATT", None)
-                 .when(has["SBV"] & has["CMP"], F.when(place.isNotNull(), triple(
-                     phrase(child["SBV"]), F.concat(word, F.get(words, child["CMP"])), phrase(place), "补宾")))
-                 .when(has["SBV"], triple(phrase(child["SBV"]), word, none, "主谓"))
-                 .when(has["VOB"], triple(none, word, phrase(child["VOB"]), "谓宾"))
-                 .when(has["FOB"], triple(none, word, phrase(child["FOB"]), "宾前")))
-
-    placed = F.filter(F.transform(arcs, lambda a, i: F.struct(a["head"].alias("head"), a["rel"].alias("rel"), i.alias("idx"))),
-                      lambda c: c["rel"].isin("SBV", "VOB", "CMP", "POB", "FOB"))
-    return _let(placed, lambda placed: F.filter(F.transform(arcs, lambda a, i: F.when(F.get(postags, i) == "v", _let(
-        F.filter(placed, lambda c: c["head"] == i + 1), lambda children: of(i, a, children, placed)))), lambda t: t.isNotNull()))
-
-
-def _core_steps(arcs):
-    """X3 as a forest: the head and place of every coordinated token."""
-    def step(a, i):
-        held = (a["rel"] == "COO") & a["head"].between(1, F.size(arcs))
-        return F.struct(F.when(held, a["head"] - 1).alias("up"), F.when(held, F.concat(F.lit("1"), _digits(i))).alias("step"))
-
-    return F.transform(arcs, step)
-
-
-def _core_list(words, arcs, paths):
+        if i is None or not 0 <= i < n:
+            return ""
+        return "".join(stream[begin[i]:end[i]]) if begin[i] >= 0 else word(i) or ""
+
+    def joined(x, y):
+        return None if x is None or y is None else x + y
+
+    out = []
+    for i in range(n):
+        if i >= len(tags) or tags[i] != "v":
+            continue
+        sbv, vob, cmp_, fob = (first.get((i + 1, r)) for r in ("SBV", "VOB", "CMP", "FOB"))
+        verb, rel = word(i), rels[i]
+        if sbv is not None and vob is not None:
+            out.append([phrase(sbv), verb, phrase(vob), "主谓宾"])
+        elif rel == "ATT":
+            # An attributive verb: its head is the subject, unless the head's phrase still tells the verb and object.
+            if vob is not None and verb is not None:
+                noun, obj = phrase(None if heads[i] is None else heads[i] - 1), phrase(vob)
+                told = verb + obj
+                noun = noun.removeprefix(told)
+                if told not in noun:
+                    out.append([noun, verb, obj, "补主"])
+        elif sbv is not None and cmp_ is not None:
+            place = first.get((cmp_ + 1, "POB"))
+            if place is not None:
+                out.append([phrase(sbv), joined(verb, word(cmp_)), phrase(place), "补宾"])
+        elif sbv is not None:
+            out.append([phrase(sbv), verb, "", "主谓"])
+        elif vob is not None:
+            out.append(["", verb, phrase(vob), "谓宾"])
+        elif fob is not None:
+            out.append(["", verb, phrase(fob), "宾前"])
+    return out
+
+
+def _core_list(words, heads, rels):
     """X3 in order of discovery: (word, offe) of the roots and, under each, the coordinated tokens.
 
     The coordinated tokens of one word come together before those of their own
-    coordinated tokens, so only the last step of a path sorts first.
+    coordinated tokens.
     """
-    def entry(p, i):
-        above = F.length(p["key"]) - _STEP
-        at = F.when(above < 0, p["key"]).otherwise(F.concat(F.substring(p["key"], F.lit(1), above), F.lit("0"), _digits(i)))
-        return F.when(F.get(arcs, p["top"])["rel"] == "HED", F.struct(
-            at.alias("at"), F.get(words, i).alias("word"), F.length(F.array_join(F.slice(words, F.lit(1), i), "")).cast("int").alias("offe")))
-
-    found = F.array_sort(F.filter(F.transform(paths, entry), lambda e: e.isNotNull()))
-    return F.transform(found, lambda e: F.struct(e["word"].alias("word"), e["offe"].alias("offe")))
+    n, under = len(heads), {}
+    for i, (head, rel) in enumerate(zip(heads, rels)):
+        if rel == "COO" and head is not None and 1 <= head <= n:
+            under.setdefault(head - 1, []).append(i)
+    found = []
+    for top in (i for i, rel in enumerate(rels) if rel == "HED"):
+        found.append(top)
+        todo = [top]
+        while todo:
+            below = under.get(todo.pop(), ())
+            found.extend(below)
+            todo.extend(reversed(below))
+    before = [0, *accumulate(len(w or "") for w in words)]
+    return [(words[i] if i < len(words) else None, before[min(i, len(words))]) for i in found]
 
 
 def _joined(found, core, right_len):
     """(triples, core) after every pair of consecutive core words has been applied in turn."""
-    measured = "left" if right_len else "right"
-    pairs = F.transform(F.slice(core, F.lit(1), F.greatest(F.size(core) - 1, F.lit(0))), lambda c, i: F.struct(
-        c["word"].alias("left"), F.get(core, i + 1)["word"].alias("right"), c["offe"].alias("offe"), F.get(core, i + 1)["offe"].alias("next")))
-
-    def joined_at(ts, at):
-        return F.transform(ts, lambda t, k: F.when(k != at, t).otherwise(F.struct(
-            t["sub"].alias("sub"), F.concat(t["verb"], F.get(ts, k + 1)["verb"]).alias("verb"), F.get(ts, k + 1)["obj"].alias("obj"),
-            F.lit("主谓宾").alias("type"))))
-
-    def filled(ts):
-        last = lambda f: F.coalesce(F.try_element_at(F.filter(F.transform(ts, lambda t: t[f]), lambda x: x != ""), F.lit(-1)), F.lit(""))
-        or_last = lambda x, y: F.when(x == "", y).otherwise(x)
-        return _let(F.struct(last("sub").alias("sub"), last("obj").alias("obj")), lambda d: F.transform(ts, lambda t: F.struct(
-            or_last(t["sub"], d["sub"]).alias("sub"), t["verb"].alias("verb"), or_last(t["obj"], d["obj"]).alias("obj"), t["type"].alias("type"))))
-
-    def apply(acc, p):
-        ts = acc["ts"]
-        touching = p["offe"] + F.length(p[measured]) == p["next"]
-        at = F.when(touching, F.array_min(F.transform(ts, lambda t, k: F.when(
-            (t["verb"] == p["left"]) & (F.get(ts, k + 1)["verb"] == p["right"]), k))))
-        return _let(at, lambda j: F.struct(
-            F.when(~touching, filled(ts)).when(j.isNull(), ts).otherwise(joined_at(ts, j)).alias("ts"),
-            F.array_append(acc["core"], F.struct(F.when(j.isNull(), p["left"]).otherwise(F.concat(p["left"], p["right"])).alias("word"),
-                                                 p["offe"].alias("offe"))).alias("core")))
-
-    none = F.array().cast("array<struct<word:string,offe:int>>")
-    return F.aggregate(pairs, F.struct(found.alias("ts"), none.alias("core")), apply, lambda acc: F.struct(
-        acc["ts"].alias("ts"), F.concat(acc["core"], F.slice(core, F.greatest(F.size(core), F.lit(1)), F.lit(1))).alias("core")))
-
-
-def _has_triple(tags, arcs):
-    """Every rule of X4 needs a subject or object that hangs on a verb."""
-    return F.exists(arcs, lambda a: a["rel"].isin("SBV", "VOB", "FOB") & (F.get(tags, a["head"] - 1) == "v"))
+    where, filled = None, False
+
+    def pair(k):
+        if 0 <= k < len(found) - 1 and found[k][1] is not None and found[k + 1][1] is not None:
+            heappush(where.setdefault((found[k][1], found[k + 1][1]), []), k)
+
+    out = []
+    for (left, offe), (right, following) in zip(core, core[1:]):
+        at, measured = None, left if right_len else right
+        if measured is not None and offe + len(measured) == following:
+            if where is None:
+                where = {}
+                for k in range(len(found) - 1):
+                    pair(k)
+            places = where.get((left, right), [])
+            while places and (found[places[0]][1], found[places[0] + 1][1]) != (left, right):
+                heappop(places)  # a join has changed the verbs there
+            if places:
+                at = places[0]
+                found[at] = [found[at][0], left + right, found[at + 1][2], "主谓宾"]
+                pair(at - 1)
+                pair(at)
+        elif measured is not None and not filled:
+            # Blanks take the last subject and object told; afterwards none is left, or nothing to fill them with.
+            filled = True
+            sub, obj = (next((t[f] for t in reversed(found) if t[f]), "") for f in (0, 2))
+            for t in found:
+                t[0], t[2] = t[0] or sub, t[2] or obj
+        out.append((left if at is None else left + right, offe))
+    return found, out + core[-1:]
+
+
+#: Tokens of which Python objects are made at a time.
+_TOKENS_AT_ONCE = 1 << 17
+
+
+def _flat(values: pa.Array) -> list:
+    """Elements as Python objects, faster than one by one."""
+    return values.to_pylist() if values.null_count and not pa.types.is_string(values.type) else values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _read_rows(words: pa.Array, tags: pa.Array, arcs: pa.Array, right_len: bool, verbs_only: bool = False):
+    """Triples and joined core words of every sentence, null where one of the arrays is; ``verbs_only``: nothing of sentences without a verb."""
+    n = len(words)
+    known = pc.and_(pc.and_(words.is_valid(), tags.is_valid()), arcs.is_valid()).to_numpy(zero_copy_only=False)
+    ends = [x.offsets.to_numpy() for x in (words, tags, arcs)]
+    heads, rels = pc.struct_field(arcs.values, "head"), pc.struct_field(arcs.values, "rel")
+    verbs = np.concatenate([[0], np.cumsum(pc.equal(tags.values, "v").fill_null(False).to_numpy(zero_copy_only=False))])
+    wanted = known & (verbs[ends[1][1:]] > verbs[ends[1][:-1]]) if verbs_only else known
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(ends[2], ends[2][at] + _TOKENS_AT_ONCE, "right")) - 1)
+        (w, t, h), r = ([_flat(x[e[at]:e[to]]) for x, e in zip((words.values, tags.values, heads), ends)], _flat(rels[ends[2][at]:ends[2][to]]))
+        (wb, tb, ab) = ((e[at:to + 1] - e[at]).tolist() for e in ends)
+        for i in range(to - at):
+            if not wanted[at + i]:
+                yield ([], []) if known[at + i] else None
+                continue
+            ws, hs, rs = w[wb[i]:wb[i + 1]], h[ab[i]:ab[i + 1]], r[ab[i]:ab[i + 1]]
+            yield _joined(_verb_triples(ws, t[tb[i]:tb[i + 1]], hs, rs), _core_list(ws, hs, rs), right_len)
+        at = to
 
 
 def _read(sents: DataFrame, keys, right_len: bool) -> DataFrame:
     """(keys…, r): triples ``r.ts`` and joined core words ``r.core`` of every sentence with words, tags and arcs.
 
-    One column per step keeps the nested array functions shallow, which the
-    analyzer needs; each column has several uses, so Spark computes it once.
-    Callers explode with the outer form: the filter that Spark infers for the
-    plain one would be pushed down and repeat all steps.
+    Read by a Python function of the three arrays, linear in the sentence's
+    tokens and its triples' text; the other columns do not go there.
     """
-    words, tags, arcs = F.col("_words"), F.col("_tags"), F.col("_arcs")
-    fits = _has_triple(tags, arcs)  # other sentences have no phrases to spell
-    whole = (sents.where(F.col("words").isNotNull() & F.col("postags").isNotNull() & F.col("arcs").isNotNull())
-             .select(*keys, F.col("words").alias("_words"), F.col("postags").alias("_tags"), F.col("arcs").alias("_arcs")))
-    none = F.array().cast("array<struct<sub:string,verb:string,obj:string,type:string>>")
-    return (whole.withColumn("_phrases", F.when(fits, _phrase_steps(arcs, tags))).withColumn("_chains", _core_steps(arcs))
-            .withColumn("_under", _paths(F.col("_phrases"))).withColumn("_cores", _paths(F.col("_chains")))
-            .withColumn("_stream", _phrase_stream(words, arcs, F.col("_under"))).withColumn("_core", _core_list(words, arcs, F.col("_cores")))
-            .withColumn("_found", F.coalesce(_verb_triples(words, tags, arcs, F.col("_under"), F.col("_stream")), none))
-            .select(*keys, _joined(F.col("_found"), F.col("_core"), right_len).alias("r")))
+    @F.arrow_udf("struct<ts:array<struct<sub:string,verb:string,obj:string,type:string>>,core:array<struct<word:string,offe:int>>>")
+    def read(words: pa.Array, tags: pa.Array, arcs: pa.Array) -> pa.Array:
+        rows = [x and {"ts": [dict(zip(_TRIPLE, t)) for t in x[0]], "core": [{"word": w, "offe": o} for w, o in x[1]]}
+                for x in _read_rows(words, tags, arcs, right_len)]
+        return pa.array(rows, _READ)
+
+    # A filter on the arrays would be pushed down to where they are made and make them a second time, for every token if it looks at each.
+    return sents.select(*keys, read("words", "postags", "arcs").alias("r")).where(F.col("r").isNotNull())
 
 
 def triples(sents: DataFrame, keys, right_len: bool = False) -> DataFrame:
     """(keys…, k, sub, verb, obj, type, core): the triples of every sentence.
 
     ``core`` tells whether the verb is one of the sentence's joined core words
-    (E2 keeps those).  Array functions inside the sentence row: no join, no
-    shuffle, no Python.  Two core words touch when the length of the right one
+    (E2 keeps those).  Read inside the sentence row: no join, no shuffle.
+    Two core words touch when the length of the right one
     leads from one offset to the next, as in the original; ``right_len`` takes
     the length of the left one.  Sentences without words, tags or arcs give no
     rows.
     """
     k = list(keys)
-    fitting = sents.where(_has_triple(F.col("postags"), F.col("arcs")))
-    rows = _read(fitting, k, right_len).select(*k, F.transform("r.core", lambda c: c["word"]).alias("_core"), F.posexplode_outer("r.ts").alias("k", "t"))
-    return (rows.where(F.col("k").isNotNull())
-            .select(*k, "k", "t.sub", "t.verb", "t.obj", "t.type", F.array_contains("_core", F.col("t.verb")).alias("core")))
+
+    @F.arrow_udf("array<struct<sub:string,verb:string,obj:string,type:string,core:boolean>>")
+    def told(words: pa.Array, tags: pa.Array, arcs: pa.Array) -> pa.Array:
+        rows = []
+        for ts, core in (x or ([], []) for x in _read_rows(words, tags, arcs, right_len, verbs_only=True)):
+            listed = {w for w, _ in core}
+            unsure = None if None in listed else False
+            rows.append([{"sub": s, "verb": v, "obj": o, "type": kind, "core": None if v is None else v in listed or unsure} for s, v, o, kind in ts])
+        return pa.array(rows, _TOLD)
+
+    rows = sents.select(*k, F.posexplode_outer(told("words", "postags", "arcs")).alias("k", "t"))
+    return rows.where(F.col("k").isNotNull()).select(*k, "k", "t.sub", "t.verb", "t.obj", "t.type", "t.core")
 
 
 def joined_core_words(sents: DataFrame, keys, right_len: bool = False) -> DataFrame:
