@@ -65,3 +65,54 @@ def test_pairs_of_large_groups_are_read_from_stored_blocks(spark, monkeypatch):
     wanted = sorted((rows[i][1], *sorted((rows[i][0], rows[j][0])), round(float(unit(m[i]) @ unit(m[j])), 9), round(float(unit(m[i][:2]) @ unit(m[j][:2])), 9))
                     for i in range(130) for j in range(i) if rows[i][1] and rows[i][1] == rows[j][1] and unit(m[i]) @ unit(m[j]) >= 0.6)
     assert sorted((r.g, r.a, r.b, round(r.cos, 9), round(r.n, 9)) for r in found.collect()) == wanted
+
+
+def test_cooccurring_words_are_counted_where_the_document_lies(spark, monkeypatch):
+    from tidings.operators import features as FE
+    monkeypatch.setattr(FE, "_TOKENS_AT_ONCE", 40)
+    rng = random.Random(4)
+    docs = [(None if i in (3, 9) else i // 2, [(rng.choice(["aa", "bb", "the", "c", "dd"]), rng.choice("nx")) for _ in range(rng.choice([0, 1, 9, 30]))]) for i in range(60)]
+    df = spark.createDataFrame([*docs, (77, None)], "id int, seg array<struct<word:string,nature:string>>")
+    found = FE.cooccur_edges(df, "id", "seg", natures=("n",), stop_words=("the",), span=3)
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 1  # documents; pairs were exchanged one by one
+    wanted = {}
+    for i, toks in docs:
+        fits = [nat == "n" and w not in ("the", "c") for w, nat in toks]
+        for x in range(len(toks)):
+            for y in range(x + 1, min(x + 3, len(toks))):
+                if fits[x] and fits[y]:
+                    key = (i, toks[x][0], toks[y][0])
+                    wanted[key] = wanted.get(key, 0) + 1
+    rows = [tuple(r) for r in found.collect()]
+    assert len(rows) == len(wanted) and {r[:3]: r[3] for r in rows} == wanted
+
+
+def test_chunk_tokens_of_documents_exchange_texts_only(spark, tmp_path):
+    from tidings.plans import catalog_annotate as CA
+    texts = [(1, "say (big cat) now.Plain one"), (2, "a《b c》\n."), (None, "lost"), (3, None), (4, "é(x"), (5, "ab (c)"), (5, "ab (c)")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = CA.chunk_token_merge_q(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and plan.count("Exchange") <= 1  # tokens were exchanged three times
+    got = {}
+    for r in found.collect():
+        got.setdefault((r.doc_id, r.s_idx), []).append((r.k, r.word, r.nature, r.offset))
+    assert [x[1:] for x in sorted(got[1, 0])] == [("say", "n", 0), (" ", "w", 3), ("(big cat)", "n", 4), (" ", "w", 13), ("now", "n", 14)]
+    assert [x[1:] for x in sorted(got[1, 1])] == [("Plain", "n", 0), (" ", "w", 5), ("one", "n", 6)]
+    assert [x[1:] for x in sorted(got[2, 0])] == [("a", "n", 0), ("《b c》", "n", 1), ("\n", "w", 6)]
+    assert [x[1] for x in sorted(got[4, 0])] == ["é", "(", "x"]
+    assert {k[0] for k in got} == {1, 2, 4, 5}
+
+
+def test_roles_meet_the_words_of_their_sentence_as_one_row(spark):
+    from tidings.operators import annotate as A
+    sents = spark.createDataFrame([(1, ["we", "saw", "big", None, "cats"], list("nvnnn"), [(0, "HED")] * 5), (2, ["x"], None, None), (None, ["y"], ["v"], [(0, "HED")]),
+                                   (3, ["go", "on"], ["v", "n"], [(0, "HED")] * 2), (3, ["go", "up"], ["v", "n"], [(0, "HED")] * 2)],
+                                  "id int, words array<string>, postags array<string>, arcs array<struct<head:int,rel:string>>")
+    roles = spark.createDataFrame([(1, 1, "A0", -4, 0), (1, 1, "A1", 2, 99), (1, 1, "TMP", 3, 3), (1, 3, "A1", 4, 2), (1, 7, "A0", 0, 0), (2, 0, "A0", 0, 0),
+                                   (None, 0, "A0", 0, 0), (3, 0, "A1", 1, None), (3, None, "A0", 0, 0), (9, 0, "A0", 0, 0)],
+                                  "id int, pred int, role string, start int, end int")
+    found = A.role_triples(roles, sents, ["id"])
+    assert "generate" not in found._jdf.queryExecution().logical().toString().lower().replace("generate explode(x", "")  # words are not exploded to be joined
+    assert sorted(map(tuple, found.collect()), key=str) == [
+        (1, 1, "we", "saw", "bigcats", "", None), (1, 3, "", None, "", None, None), (3, 0, "", "go", "onup", None, None), (3, 0, "", "go", "onup", None, None)]

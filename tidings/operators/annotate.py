@@ -10,6 +10,7 @@ function that is linear in the tokens.
 
 from __future__ import annotations
 
+import json
 from heapq import heappop, heappush
 from itertools import accumulate
 
@@ -18,6 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def exploded_arcs(sents: DataFrame, keys) -> DataFrame:
@@ -437,21 +440,43 @@ def merge_chunk_tokens(seg: "Column", chunks: "Column") -> "Column":
 def role_triples(roles: DataFrame, sents: DataFrame, keys) -> DataFrame:
     """Per predicate, the A0 / A1 / TMP / LOC argument spans as text.
 
-    ``roles`` is (keys…, pred, role, start, end) with inclusive token spans;
-    each span is spelled out as token indexes, which meet the sentence's tokens
-    by equality, is concatenated in token order, and the roles are pivoted.
+    ``roles`` is (keys…, pred, role, start, end) with inclusive token spans.
+    The roles of a sentence meet its words as one row, so tokens are never
+    exchanged one by one; sentences that share a key are read together, each
+    telling its own verbs.
     """
     k = list(keys)
-    toks = exploded_arcs(sents, k).select(*k, "idx", "word")
-    lengths = sents.groupBy(*k).agg(F.max(F.size("words")).alias("_n"))
-    begin, stop = F.greatest(F.col("start"), F.lit(0)), F.least(F.col("end"), F.col("_n") - 1)
-    spans = (roles.join(lengths, k).where(begin <= stop).withColumn("idx", F.explode(F.sequence(begin.cast("int"), stop.cast("int"))))
-                  .join(toks, k + ["idx"])
-                  .groupBy(*k, "pred", "role")
-                  .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "word"))), lambda s: s["word"]), "")
-                        .alias("text")))
-    piv = spans.groupBy(*k, "pred").pivot("role", ["A0", "A1", "TMP", "LOC"]).agg(F.first("text"))
-    verbs = toks.select(*k, F.col("idx").alias("pred"), F.col("word").alias("verb"))
-    return (roles.select(*k, "pred").distinct().join(piv, k + ["pred"], "left").join(verbs, k + ["pred"])
-                 .select(*k, "pred", F.coalesce("A0", F.lit("")).alias("sub"), "verb",
-                         F.coalesce("A1", F.lit("")).alias("obj"), F.col("TMP").alias("tmp"), F.col("LOC").alias("loc")))
+    kind = roles.schema["pred"].dataType
+    out = T.ArrayType(T.StructType([T.StructField("pred", kind)] + [T.StructField(c, T.StringType()) for c in ("sub", "verb", "obj", "tmp", "loc")]))
+    made = to_arrow_type(out)
+    arrays = [F.size(c) for c in ("words", "postags", "arcs")]
+    tokens = F.when(F.col("words").isNotNull() & F.col("postags").isNotNull() & F.col("arcs").isNotNull(), F.greatest(*arrays)).otherwise(0)
+    told = roles.select(*k, F.struct("pred", "role", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")).alias("r"))
+    told = told.groupBy(*k).agg(F.collect_list("r").alias("_roles"))
+    # Words travel as one text: an array takes some times as much.
+    read = sents.select(*k, F.struct(F.to_json("words").alias("words"), tokens.alias("n")).alias("s")).repartition(*k).groupBy(*k).agg(F.collect_list("s").alias("_sents"))
+
+    @F.arrow_udf(out)
+    def spelled(roles: pa.Array, sents: pa.Array) -> pa.Array:
+        return pa.array([_spelled_roles(r.as_py(), s.as_py()) for r, s in zip(roles, sents)], made)
+
+    rows = told.join(read, k).select(*k, spelled("_roles", "_sents").alias("x"))
+    return rows.select(*k, F.explode_outer("x").alias("x")).where(F.col("x").isNotNull()).select(*k, "x.*")
+
+
+def _spelled_roles(roles, sents):
+    """Rows (pred, sub, verb, obj, tmp, loc) of the sentences of one key."""
+    words = [s["words"] and json.loads(s["words"]) for s in sents]
+    last = max((len(w) - 1 for w in words if w is not None), default=None)
+    tokens = [(w or [])[:s["n"]] + [None] * (s["n"] - len(w or ())) for w, s in zip(words, sents)]
+    spans: dict = {}
+    for r in roles:
+        ends = [x for x in (r["end"], last) if x is not None]
+        if ends:
+            at = slice(max(r["start"] or 0, 0), max(min(ends) + 1, 0))
+            found = [(i, w is not None, w) for words in tokens for i, w in enumerate(words[at], at.start)]
+            if found:
+                spans.setdefault((r["pred"], r["role"]), []).extend(found)
+    texts = {p: "".join(w for _, there, w in sorted(found, key=lambda x: (x[0], x[2] or "")) if there) for p, found in spans.items()}
+    return [{"pred": p, "sub": texts.get((p, "A0"), ""), "verb": words[p], "obj": texts.get((p, "A1"), ""), "tmp": texts.get((p, "TMP")), "loc": texts.get((p, "LOC"))}
+            for p in dict.fromkeys(r["pred"] for r in roles) if p is not None for words in tokens if 0 <= p < len(words)]
