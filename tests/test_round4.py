@@ -116,3 +116,11 @@ def test_roles_meet_the_words_of_their_sentence_as_one_row(spark):
     assert "generate" not in found._jdf.queryExecution().logical().toString().lower().replace("generate explode(x", "")  # words are not exploded to be joined
     assert sorted(map(tuple, found.collect()), key=str) == [
         (1, 1, "we", "saw", "bigcats", "", None), (1, 3, "", None, "", None, None), (3, 0, "", "go", "onup", None, None), (3, 0, "", "go", "onup", None, None)]
+
+
+def test_pairs_need_vectors_of_one_length(spark):
+    import pytest
+    from tidings.operators import vectors as V
+    df = spark.createDataFrame([(1, "g", [1.0, 0.0]), (2, "g", None)], "id long, g string, v array<double>")
+    with pytest.raises(Exception, match="without values"):
+        V.similar_pairs(df, "id", "v", 0.5, "g").collect()
