@@ -178,7 +178,6 @@ def role_triples_q(spark, sf_dir):
     return A.role_triples(_stand_in_roles(s), s, KEYS)
 
 
-@F.arrow_udf("array<int>")
 def _offsets(words: pa.Array) -> pa.Array:
     """Length of the words before each word of a sentence."""
     lengths = pc.utf8_length(words.values).fill_null(0).to_numpy().astype(np.int64)
@@ -213,7 +212,8 @@ def chunk_token_merge_q(spark, sf_dir):
     (fold per sentence; checked against the sequential rule in tests)."""
     from ..functions.text import chunk_offsets
     s = _sentences(S.table(spark, sf_dir, "documents"))
-    s = s.select("doc_id", "s_idx", "words", _offsets("words").alias("offsets"), F.transform(chunk_offsets(F.col("sentence")), lambda c: F.struct(
+    offsets = F.arrow_udf(_offsets, "array<int>")  # here, as making it needs a session
+    s = s.select("doc_id", "s_idx", "words", offsets("words").alias("offsets"), F.transform(chunk_offsets(F.col("sentence")), lambda c: F.struct(
         c["chunk"].alias("chunk"), c["start"].alias("start"), c["end"].alias("end"))).alias("ch"))
     seg = F.zip_with("words", "offsets", lambda w, at: F.struct(
         w.alias("word"), F.when(w.rlike("^[A-Za-z]"), F.lit("n")).otherwise(F.lit("w")).alias("nature"), at.alias("offset")))
